@@ -75,14 +75,6 @@ def hours_hundredths() -> Column:
     return F.round(F.col("resolution_hours") * 100).cast("bigint")
 
 
-def money_text(value: Column) -> Column:
-    return F.concat(F.lit("$"), F.format_number(value, 2))
-
-
-def count_text(value: Column) -> Column:
-    return F.format_number(value, 0)
-
-
 def decimal_text(value: Column) -> Column:
     return F.format_string("%.2f", value)
 

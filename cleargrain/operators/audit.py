@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.functions import fixed
+from cleargrain.functions.unfold import quoted, unfold
 from cleargrain.operators.records import find_duplicates
 
 # --- Fixed values: table keys, references and column rules ------------------
@@ -75,25 +76,26 @@ def constraint_audit(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _audit_table(name: str, frame: DataFrame) -> DataFrame:
-    checks: list[tuple[str, str, Column]] = []
+    checks: list[tuple[str, str, str]] = []
     for column in frame.columns:
         if column not in NULLABLE.get(name, ()):
-            checks.append((column, "NOT_NULL", F.col(column).isNull()))
+            checks.append((column, "NOT_NULL", f"{column} IS NULL"))
     for column, domain in DOMAINS.get(name, {}).items():
-        checks.append((column, "DOMAIN", ~F.col(column).isin(*domain)))
+        allowed = ", ".join(quoted(value) for value in domain)
+        checks.append((column, "DOMAIN", f"{column} NOT IN ({allowed})"))
     for column, rule in RANGES.get(name, {}).items():
-        checks.append((column, "RANGE", ~F.expr(rule)))
-    counted = frame.agg(
-        *[F.count(F.when(broken, 1)).alias(f"c{n}") for n, (_, _, broken) in enumerate(checks)]
+        checks.append((column, "RANGE", f"NOT ({rule})"))
+    counted = frame.selectExpr(
+        *[f"count_if({broken}) AS c{n}" for n, (_, _, broken) in enumerate(checks)]
     )
     entries = [
-        F.struct(
-            F.lit(name).alias("table_name"), F.lit(column).alias("column_name"),
-            F.lit(kind).alias("check_name"), F.col(f"c{n}").alias("violations"),
-        )
+        {
+            "table_name": quoted(name), "column_name": quoted(column),
+            "check_name": quoted(kind), "violations": f"c{n}",
+        }
         for n, (column, kind, _) in enumerate(checks)
     ]
-    return counted.select(F.inline(F.array(*entries)))
+    return unfold(counted, entries)
 
 
 def key_audit(tables: dict[str, DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cleargrain.functions import fixed
-from cleargrain.functions.clean import is_blank, null_if_blank, to_decimal
+from cleargrain.functions.unfold import named, quoted, unfold
 from cleargrain.sources.raw import data_columns
 
 
@@ -56,7 +56,7 @@ def _value_counts(dataset: str, source: DataFrame) -> DataFrame:
     """Rows per populated value of every column, combined before the shuffle."""
     columns = data_columns(source)
     return (
-        source.select(*[null_if_blank(F.col(name)).alias(name) for name in columns])
+        source.selectExpr(*[f"nullif({named(name)}, '') AS {named(name)}" for name in columns])
         .unpivot([], columns, "column_name", "value")
         .where("value IS NOT NULL")
         .groupBy("column_name", "value")
@@ -93,27 +93,20 @@ def profile_columns(sources: dict[str, DataFrame]) -> DataFrame:
 
 def _profile_columns(dataset: str, source: DataFrame) -> DataFrame:
     """One ungrouped scan for the ranges, one value count for uniqueness."""
-    columns = data_columns(source)
     measures, entries = [], []
-    for n, name in enumerate(columns):
-        value = null_if_blank(F.col(name))
-        parsed = to_decimal(value)
+    for n, name in enumerate(data_columns(source)):
+        value = f"nullif({named(name)}, '')"
+        parsed = f"try_cast(translate({value}, '_', '') AS DECIMAL(38,18))"
         measures += [
-            F.count(F.lit(1)).alias(f"r{n}"), F.count(value).alias(f"p{n}"),
-            F.min(value).alias(f"lo{n}"), F.max(value).alias(f"hi{n}"),
-            F.count(parsed).alias(f"c{n}"), F.min(parsed).alias(f"min{n}"),
-            F.max(parsed).alias(f"max{n}"), F.sum(parsed).alias(f"sum{n}"),
+            f"count(*) AS r{n}", f"count({value}) AS p{n}", f"min({value}) AS lo{n}", f"max({value}) AS hi{n}",
+            f"count({parsed}) AS c{n}", f"min({parsed}) AS min{n}", f"max({parsed}) AS max{n}",
+            f"sum({parsed}) AS sum{n}",
         ]
-        entries.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"r{n}").alias("rows"), F.col(f"p{n}").alias("populated"),
-                F.col(f"lo{n}").alias("min_value"), F.col(f"hi{n}").alias("max_value"),
-                F.col(f"c{n}").alias("parsed"), F.col(f"min{n}").alias("low"),
-                F.col(f"max{n}").alias("high"), F.col(f"sum{n}").alias("total"),
-            )
-        )
-    ranges = source.agg(*measures).select(F.inline(F.array(*entries)))
+        entries.append({
+            "column_name": quoted(name), "rows": f"r{n}", "populated": f"p{n}", "min_value": f"lo{n}",
+            "max_value": f"hi{n}", "parsed": f"c{n}", "low": f"min{n}", "high": f"max{n}", "total": f"sum{n}",
+        })
+    ranges = unfold(source.selectExpr(*measures), entries)
     distinct = _value_counts(dataset, source).groupBy("column_name").agg(F.count(F.lit(1)).alias("values"))
     numeric = (F.col("populated") > 0) & (F.col("parsed") == F.col("populated"))
     unique = F.coalesce(F.col("values"), F.lit(0))
@@ -143,8 +136,9 @@ def profile_totals(sources: dict[str, DataFrame]) -> DataFrame:
     blanks = reduce(
         DataFrame.unionAll,
         [
-            source.agg(
-                sum((F.count(F.when(is_blank(F.col(name)), 1)) for name in data_columns(source)), F.lit(0)).alias("null_cells")
+            source.selectExpr(
+                " + ".join(f"count_if(nullif({named(name)}, '') IS NULL)" for name in data_columns(source))
+                + " AS null_cells"
             )
             for source in sources.values()
         ],

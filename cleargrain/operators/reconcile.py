@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.functions.clean import cents, to_decimal
+from cleargrain.functions.unfold import quoted, unfold
 
 
 class DataQualityError(RuntimeError):
@@ -44,14 +45,11 @@ def reconcile(
     if source_amount:
         controls.append(("amount_cents", "CENTS", "cents"))
     entries = [
-        F.struct(
-            F.lit(f"{dataset}_{suffix}").alias("control_name"),
-            F.lit(dataset).alias("dataset"),
-            F.lit(unit).alias("unit"),
-            F.col(f"source_{column}").alias("source_value"),
-            F.col(f"target_{column}").alias("target_value"),
-            (F.col("unreadable") if column == "cents" else F.lit(0)).alias("unreadable"),
-        )
+        {
+            "control_name": quoted(f"{dataset}_{suffix}"), "dataset": quoted(dataset), "unit": quoted(unit),
+            "source_value": f"source_{column}", "target_value": f"target_{column}",
+            "unreadable": "unreadable" if column == "cents" else "0L",
+        }
         for suffix, unit, column in controls
     ]
     is_source = F.col("is_source")
@@ -63,7 +61,7 @@ def reconcile(
         F.sum(F.when(is_source, F.col("unreadable"))).alias("unreadable"),
     )
     balanced = (F.col("source_value") == F.col("target_value")) & (F.col("unreadable") == 0)
-    return totals.select(F.inline(F.array(*entries))).select(
+    return unfold(totals, entries).select(
         "control_name", "dataset", "unit", "source_value", "target_value",
         (F.col("source_value") - F.col("target_value")).alias("difference"),
         F.when(balanced, "PASS").otherwise("FAIL").alias("status"),

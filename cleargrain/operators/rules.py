@@ -7,13 +7,13 @@ push down on it, and the texts are attached only where findings are listed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.functions import fixed
+from cleargrain.functions.unfold import quoted
 
 MASK = "issue_mask"
 
@@ -116,13 +116,15 @@ def _catalogue(dataset: str) -> tuple[Rule, ...]:
 CATALOGUE = {dataset: _catalogue(dataset) for dataset in fixed.DATASETS}
 
 
-def mask_of(dataset: str, hits: dict[str, Column]) -> Column:
-    """One integer holding every rule that hits; an unknown outcome is no hit."""
-    total = F.lit(0).cast("bigint")
-    for rule in CATALOGUE[dataset]:
-        if rule.name in hits:
-            total = total + F.when(hits[rule.name], F.lit(rule.flag)).otherwise(0).cast("bigint")
-    return total
+def with_mask(dataset: str, rows: DataFrame, hits: dict[str, Column], name: str = MASK) -> DataFrame:
+    """Add one integer holding every rule that hits; an unknown outcome is no hit."""
+    total = " + ".join(
+        f"CASE WHEN hit_{rule.name} THEN {rule.flag}L ELSE 0L END"
+        for rule in CATALOGUE[dataset]
+        if rule.name in hits
+    )
+    marked = rows.select("*", *[hit.alias(f"hit_{rule}") for rule, hit in hits.items()])
+    return marked.withColumn(name, F.expr(total)).drop(*[f"hit_{rule}" for rule in hits])
 
 
 def flags_with(dataset: str, **wanted: str) -> int:
@@ -134,32 +136,32 @@ def flags_with(dataset: str, **wanted: str) -> int:
     )
 
 
-def has_any(flags: int, mask: Column | None = None) -> Column:
-    mask = F.col(MASK) if mask is None else mask
-    return mask.bitwiseAND(F.lit(flags).cast("bigint")) != 0
+def hit_sql(flags: int, mask: str = MASK) -> str:
+    return f"({mask} & {flags}L) <> 0"
 
 
-def quarantined(dataset: str) -> Column:
-    return has_any(flags_with(dataset, action="QUARANTINE"))
+def has_any(flags: int, mask: str = MASK) -> Column:
+    return F.expr(hit_sql(flags, mask))
 
 
-def _joined(parts: Iterable[Column]) -> Column:
-    return F.concat_ws("|", *parts)
+def quarantined(dataset: str) -> Column:
+    return has_any(flags_with(dataset, action="QUARANTINE"))
 
 
 def reason(dataset: str) -> Column:
     """Sorted distinct issue types of the record, joined by ``|``."""
     types = sorted({rule.issue_type for rule in CATALOGUE[dataset]})
-    return _joined(
-        F.when(has_any(flags_with(dataset, issue_type=name)), F.lit(name)) for name in types
+    parts = (
+        f"CASE WHEN {hit_sql(flags_with(dataset, issue_type=name))} THEN '{name}' END" for name in types
     )
+    return F.expr(f"concat_ws('|', {', '.join(parts)})")
 
 
 def quality_flag(dataset: str) -> Column:
     """Sorted issue types of the record, one per finding, or ``PASS``."""
     ranked = sorted(CATALOGUE[dataset], key=lambda rule: (rule.issue_type, rule.bit))
-    types = _joined(F.when(has_any(rule.flag), F.lit(rule.issue_type)) for rule in ranked)
-    return F.when(F.col(MASK) == 0, F.lit("PASS")).otherwise(types)
+    parts = (f"CASE WHEN {hit_sql(rule.flag)} THEN '{rule.issue_type}' END" for rule in ranked)
+    return F.expr(f"CASE WHEN {MASK} = 0 THEN 'PASS' ELSE concat_ws('|', {', '.join(parts)}) END")
 
 
 def list_issues(dataset: str, validated: DataFrame) -> DataFrame:
@@ -168,37 +170,30 @@ def list_issues(dataset: str, validated: DataFrame) -> DataFrame:
     Repeated and missing keys of all datasets come first, dataset by dataset;
     then row findings by dataset, row and rule; cascaded quarantines last.
     """
-    position = fixed.DATASETS.index(dataset)
     entries = []
     for rule in CATALOGUE[dataset]:
         phase = 0 if rule.name in KEY_RULES else 2 if rule.name == CASCADE_RULE else 1
-        entries.append(
-            F.struct(
-                F.lit(rule.flag).cast("bigint").alias("flag"),
-                F.lit(phase).alias("phase"),
-                F.lit(rule.bit).alias("rule_no"),
-                F.lit(rule.name == "missing_key").alias("keyless"),
-                F.lit(rule.name == "repeated_key").alias("by_key"),
-                F.lit(rule.issue_type).alias("issue_type"),
-                F.lit(rule.severity).alias("severity"),
-                F.lit(rule.action).alias("action"),
-                F.lit(rule.message).alias("message"),
-            )
-        )
-    key = F.coalesce(F.col(fixed.KEYS[dataset]), F.lit(""))
+        fields = {
+            "flag": f"{rule.flag}L", "phase": phase, "rule_no": rule.bit,
+            "keyless": rule.name == "missing_key", "by_key": rule.name == "repeated_key",
+            "issue_type": quoted(rule.issue_type), "severity": quoted(rule.severity),
+            "action": quoted(rule.action), "message": quoted(rule.message),
+        }
+        entries.append("struct(" + ", ".join(f"{value} AS {name}" for name, value in fields.items()) + ")")
     return (
-        validated.where(F.col(MASK) != 0)
-        .select(
-            key.alias("own_id"), MASK, "row_order", F.explode(F.array(*entries)).alias("rule"),
+        validated.where(f"{MASK} <> 0")
+        .selectExpr(
+            f"coalesce({fixed.KEYS[dataset]}, '') AS own_id", MASK, "row_order",
+            f"explode(array({', '.join(entries)})) AS rule",
         )
-        .where(F.col(MASK).bitwiseAND(F.col("rule.flag")) != 0)
-        .select(
-            F.lit(dataset).alias("dataset"),
-            F.when(F.col("rule.keyless"), F.lit(MISSING_KEY_ID)).otherwise(F.col("own_id")).alias("record_id"),
+        .where(f"({MASK} & rule.flag) <> 0")
+        .selectExpr(
+            f"'{dataset}' AS dataset",
+            f"CASE WHEN rule.keyless THEN '{MISSING_KEY_ID}' ELSE own_id END AS record_id",
             "rule.issue_type", "rule.severity", "rule.action", "rule.message", "rule.phase",
-            F.lit(position).alias("dataset_no"),
-            F.when(F.col("rule.phase") == 0, F.col("rule.rule_no")).otherwise(-1).alias("step"),
-            F.when(F.col("rule.by_key"), F.col("own_id")).otherwise("").alias("by_key"),
+            f"{fixed.DATASETS.index(dataset)} AS dataset_no",
+            "CASE WHEN rule.phase = 0 THEN rule.rule_no ELSE -1 END AS step",
+            "CASE WHEN rule.by_key THEN own_id ELSE '' END AS by_key",
             "row_order", "rule.rule_no",
         )
     )

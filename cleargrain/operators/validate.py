@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cleargrain.functions import clean, fixed
 from cleargrain.functions.clean import is_blank
 from cleargrain.operators.records import keep_first, lookup
-from cleargrain.operators.rules import CASCADE_RULE, MASK, flags_with, has_any, mask_of
+from cleargrain.operators.rules import CASCADE_RULE, MASK, flags_with, has_any, with_mask
 from cleargrain.sources.raw import ROW_ORDER
 
 
@@ -58,14 +58,14 @@ def validate_customers(source: DataFrame) -> DataFrame:
         "alias_segment": _is_alias("customer_segment", F.col("segment"), fixed.SEGMENTS),
         "no_region": is_blank(F.col("region")),
     }
-    return rows.select(
+    return with_mask("customers", rows, hits).select(
         "customer_id",
         clean.strip(F.col("customer_name")).alias("customer_name"),
         F.col("segment").alias("customer_segment"),
         F.coalesce(clean.null_if_blank(_upper("region")), F.lit("UNKNOWN")).alias("region"),
         "created_date",
         _upper("crm_status").alias("crm_status"),
-        mask_of("customers", hits).alias(MASK),
+        MASK,
         ROW_ORDER, "copies",
     )
 
@@ -87,14 +87,14 @@ def validate_products(source: DataFrame) -> DataFrame:
         "bad_price": ~sound,
         "unusual_price": sound & (price > fixed.UNUSUAL_UNIT_PRICE),
     }
-    return rows.select(
+    return with_mask("products", rows, hits).select(
         "product_id",
         clean.strip(F.col("product_name")).alias("product_name"),
         F.col("category").alias("product_category"),
         clean.cents(price).alias("unit_price_cents"),
         clean.cents(cost).alias("unit_cost_cents"),
         _upper("active_flag").alias("active_flag"),
-        mask_of("products", hits).alias(MASK),
+        MASK,
         ROW_ORDER, "copies",
     )
 
@@ -134,7 +134,7 @@ def validate_orders(source: DataFrame, customers: DataFrame, products: DataFrame
         "unknown_status": ~F.col("status").isin(*fixed.ORDER_STATUSES),
         "alias_status": _is_alias("order_status", F.col("status"), fixed.ORDER_STATUSES),
     }
-    return rows.select(
+    return with_mask("orders", rows, hits).select(
         "order_id", "customer_id", "product_id", "order_date",
         clean.month(F.col("order_date")).alias("order_month"),
         units.try_cast("int").alias("quantity"),
@@ -145,7 +145,7 @@ def validate_orders(source: DataFrame, customers: DataFrame, products: DataFrame
         F.col("status").alias("order_status"),
         _upper("channel").alias("channel"),
         "customer_segment", "region", "product_category",
-        mask_of("orders", hits).alias(MASK),
+        MASK,
         ROW_ORDER, "copies",
     )
 
@@ -171,7 +171,7 @@ def validate_tickets(source: DataFrame, customers: DataFrame) -> DataFrame:
         "unknown_priority": ~F.col("governed_priority").isin(*fixed.PRIORITIES),
         "alias_priority": _is_alias("priority", F.col("governed_priority"), fixed.PRIORITIES),
     }
-    return rows.select(
+    return with_mask("support_tickets", rows, hits).select(
         "ticket_id", "customer_id", "opened_at",
         clean.month(F.col("opened_at")).alias("opened_month"),
         clean.null_if_blank(F.col("resolved_at")).alias("resolved_at"),
@@ -181,7 +181,7 @@ def validate_tickets(source: DataFrame, customers: DataFrame) -> DataFrame:
         F.when(has_end, clean.elapsed_hours(F.col("opened"), F.col("resolved"))).alias("resolution_hours"),
         F.when(~is_blank(F.col("satisfaction_score")), _score("satisfaction_score")).alias("satisfaction_score"),
         "customer_segment",
-        mask_of("support_tickets", hits).alias(MASK),
+        MASK,
         ROW_ORDER, "copies",
     )
 
@@ -220,9 +220,10 @@ def validate_finance(source: DataFrame, orders: DataFrame) -> DataFrame:
         "ledger_mismatch": F.col("order_found")
         & (ledger != expected_cents(F.col("sold_status"), F.col("order_cents"))),
     }
-    rows = rows.withColumn("own_mask", mask_of("finance_transactions", hits))
-    held = has_any(flags_with("finance_transactions", action="QUARANTINE"), F.col("own_mask"))
+    rows = with_mask("finance_transactions", rows, hits, "own_mask")
+    held = has_any(flags_with("finance_transactions", action="QUARANTINE"), "own_mask")
     cascade = ~held & ~F.coalesce(F.col("order_loaded"), F.lit(False))
+    rows = with_mask("finance_transactions", rows, {CASCADE_RULE: cascade}, "cascade_mask")
     return rows.select(
         "finance_transaction_id", "order_id", "posted_date",
         clean.month(F.col("posted_date")).alias("posted_month"),
@@ -231,7 +232,7 @@ def validate_finance(source: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("transaction_amount").alias("source_amount"),
         _upper("currency").alias("currency"),
         _upper("posting_status").alias("posting_status"),
-        (F.col("own_mask") + mask_of("finance_transactions", {CASCADE_RULE: cascade})).alias(MASK),
+        (F.col("own_mask") + F.col("cascade_mask")).alias(MASK),
         ROW_ORDER, "copies",
     )
 

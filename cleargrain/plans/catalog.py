@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from cleargrain.functions import fixed
 from cleargrain.operators import audit, profile, records, rules
 from cleargrain.plans import analytics, reports, storage
 from cleargrain.plans.staging import Staging
-from cleargrain.plans.warehouse import Warehouse, staged_warehouse
+from cleargrain.plans.warehouse import StagedWarehouse, Warehouse
 from cleargrain.sources.adapter import BASE_TABLES, derive_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,22 +36,33 @@ RAW_REFERENCES = (
 
 
 class Workspace:
-    """Staging, warehouse views and the frames that several queries share."""
+    """Staging, warehouse views and the lazy frames that several queries share."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.sources = derive_sources(spark, sf_dir)
         self.staging = Staging(spark, self.sources)
+        self.warehouse = StagedWarehouse(self.staging)
 
-    @property
-    def warehouse(self) -> Warehouse:
-        return staged_warehouse(self.staging)
-
+    @cached_property
     def score(self) -> DataFrame:
         inputs = analytics.quality_inputs(self.staging.counts(), self.staging.issue_counts())
         return analytics.quality_score(inputs)
 
+    @cached_property
     def overall(self) -> DataFrame:
-        return analytics.kpi_overall(self.warehouse, self.score())
+        return analytics.kpi_overall(self.warehouse, self.score)
+
+    @cached_property
+    def months(self) -> DataFrame:
+        return analytics.monthly_trends(self.warehouse)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return analytics.category_performance(self.warehouse)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return analytics.segment_metrics(self.warehouse)
 
 
 _workspaces: dict[tuple, Workspace] = {}
@@ -212,18 +223,18 @@ _on_warehouse("control_listing", lambda wh: wh["etl_control"].orderBy("control_n
 _on_warehouse("kpi_orders", analytics.kpi_orders)
 _on_warehouse("kpi_finance", analytics.kpi_finance)
 _on_warehouse("kpi_support", analytics.kpi_support)
-_query(lambda ws: ws.overall(), "kpi_overall")
-_query(lambda ws: ws.score(), "quality_score")
+_query(lambda ws: ws.overall, "kpi_overall")
+_query(lambda ws: ws.score, "quality_score")
 _on_warehouse("monthly_orders", analytics.monthly_orders)
 _on_warehouse("monthly_finance", analytics.monthly_finance)
 _on_warehouse("monthly_support", analytics.monthly_support)
-_on_warehouse("monthly_trends", analytics.monthly_trends)
-_on_warehouse("category_performance", analytics.category_performance)
+_query(lambda ws: ws.months, "monthly_trends")
+_query(lambda ws: ws.categories, "category_performance")
 _on_warehouse("category_performance_grain_safe", lambda wh: analytics.category_performance(wh, grain_safe=True))
-_on_warehouse("segment_metrics", analytics.segment_metrics)
+_query(lambda ws: ws.segments, "segment_metrics")
 _on_warehouse("dashboard_dataset", analytics.dashboard_dataset)
 _on_warehouse("dashboard_dataset_grain_safe", lambda wh: analytics.dashboard_dataset(wh, grain_safe=True))
-_on_warehouse("highlights", analytics.highlights)
+_query(lambda ws: analytics.pick_highlights(ws.categories, ws.segments, ws.months), "highlights")
 _on_warehouse("executive_kpis", analytics.executive_kpis)
 _on_warehouse("category_rank_share", analytics.category_rank_share)
 _on_warehouse("segment_having", analytics.segment_having)
@@ -237,22 +248,20 @@ _query(lambda ws: analytics.exception_rank(ws.staging.issue_counts()), "exceptio
 
 # --- Reports --------------------------------------------------------------------
 
-_query(lambda ws: reports.kpi_summary(ws.overall()), "kpi_summary")
+_query(lambda ws: reports.kpi_summary(ws.overall), "kpi_summary")
 _query(lambda ws: reports.top_issues(ws.staging.issue_counts()), "top_issues")
 _query(lambda ws: reports.control_outcomes(ws.staging.controls()), "control_outcomes")
-_query(lambda ws: reports.publish_status(ws.staging.issue_counts(), ws.staging.reconciliation()), "publish_status")
+_query(lambda ws: reports.publish_status(ws.staging.issue_counts(), ws.warehouse["etl_control"]), "publish_status")
 _query(
-    lambda ws: reports.findings(ws.overall(), ws.staging.issue_counts(), analytics.monthly_trends(ws.warehouse)),
+    lambda ws: reports.findings(ws.overall, ws.staging.issue_counts(), ws.months),
     "findings",
 )
 
 
 def _report_facts(ws: Workspace) -> DataFrame:
-    wh = ws.warehouse
     return reports.report_facts(
-        ws.overall(), profile.profile_totals(ws.sources), ws.staging.issue_counts(),
-        ws.staging.controls(), ws.staging.reconciliation(), analytics.category_performance(wh),
-        analytics.segment_metrics(wh), analytics.monthly_trends(wh),
+        ws.overall, profile.profile_totals(ws.sources), ws.staging.issue_counts(),
+        ws.staging.controls(), ws.warehouse["etl_control"], ws.categories, ws.segments, ws.months,
     )
 
 

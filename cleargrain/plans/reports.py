@@ -6,20 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.functions import fixed
-from cleargrain.functions.measure import count_text, decimal_text, money_text, sum_if, title_text
+from cleargrain.functions.measure import decimal_text, sum_if, title_text
+from cleargrain.functions.unfold import quoted, unfold
 from cleargrain.plans.analytics import one_row
 
 
 def kpi_summary(overall: DataFrame) -> DataFrame:
     """The headline row as a list: name, value, unit, definition."""
     entries = [
-        F.struct(
-            F.lit(name).alias("kpi_name"), F.col(name).cast("double").alias("kpi_value"),
-            F.lit(unit).alias("unit"), F.lit(definition).alias("definition"),
-        )
+        {
+            "kpi_name": quoted(name), "kpi_value": f"CAST({name} AS DOUBLE)", "unit": quoted(unit),
+            "definition": quoted(definition),
+        }
         for name, unit, definition in fixed.KPIS
     ]
-    return overall.select(F.inline(F.array(*entries)))
+    return unfold(overall, entries)
 
 
 def issue_type_counts(issue_counts: DataFrame) -> DataFrame:
@@ -138,14 +139,14 @@ def report_facts(
         best(months, "worst_month", F.asc("ticket_sla_rate"), "reporting_month", rate="ticket_sla_rate"),
     )
 
-    def number(name: str) -> Column:
-        return count_text(F.col(name))
+    def number(name: str) -> str:
+        return f"format_number({name}, 0)"
 
-    def money(name: str) -> Column:
-        return money_text(F.col(name))
+    def money(name: str) -> str:
+        return f"'$' || format_number({name}, 2)"
 
-    def rate(name: str) -> Column:
-        return decimal_text(F.col(name))
+    def rate(name: str) -> str:
+        return f"format_string('%.2f', {name})"
 
     # Section, fact and how the fact reads.
     facts = (
@@ -153,7 +154,7 @@ def report_facts(
         ("executive_summary", "net_revenue", money("net_revenue")),
         ("executive_summary", "loaded_orders", number("order_count")),
         ("executive_summary", "data_quality_score", rate("data_quality_score")),
-        ("executive_summary", "reconciliation_status", F.col("balanced")),
+        ("executive_summary", "reconciliation_status", "balanced"),
         ("data_quality", "duplicate_rows", number("duplicate_rows")),
         ("data_quality", "blank_cells", number("null_cells")),
         ("data_quality", "exceptions", number("exception_count")),
@@ -170,21 +171,20 @@ def report_facts(
         ("operations", "average_resolution_hours", rate("average_resolution_hours")),
         ("operations", "ticket_sla_rate", rate("ticket_sla_rate")),
         ("customers", "ordering_customers", number("ordering_customer_count")),
-        ("customers", "top_segment", F.col("segment_name")),
+        ("customers", "top_segment", "segment_name"),
         ("customers", "top_segment_value", money("segment_value")),
         ("customers", "top_segment_orders", number("segment_orders")),
-        ("products", "top_category", F.col("category_name")),
+        ("products", "top_category", "category_name"),
         ("products", "top_category_revenue", money("category_value")),
         ("products", "top_category_orders", number("category_orders")),
         ("products", "top_category_units", number("category_units")),
-        ("trends", "highest_revenue_month", F.col("best_month_name")),
+        ("trends", "highest_revenue_month", "best_month_name"),
         ("trends", "highest_revenue", money("best_month_value")),
-        ("trends", "lowest_sla_month", F.col("worst_month_name")),
+        ("trends", "lowest_sla_month", "worst_month_name"),
         ("trends", "lowest_sla_rate", rate("worst_month_rate")),
         ("exceptions", "reconciliation_controls", number("reconciliations")),
     )
-    entries = [
-        F.struct(F.lit(section).alias("section"), F.lit(fact).alias("fact"), text.alias("value"))
-        for section, fact, text in facts
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    return unfold(
+        row,
+        [{"section": quoted(section), "fact": quoted(fact), "value": text} for section, fact, text in facts],
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleargrain.functions import fixed
+from cleargrain.functions.unfold import quoted, unfold
 from cleargrain.operators import rules, validate
 from cleargrain.operators.numbering import number, place
 from cleargrain.operators.reconcile import DataQualityError, reconcile
@@ -81,27 +82,26 @@ class Staging:
         )
 
     def issue_summary(self) -> DataFrame:
-        """Findings per dataset, type, severity, action and phase, read from masks.
+        """Findings per rule, read from masks.
 
         Counting set bits needs no exploded list: one scan per dataset and a
         single row of counts from each.
         """
         parts = []
-        for position, dataset in enumerate(fixed.DATASETS):
+        for dataset in fixed.DATASETS:
             catalogue = rules.CATALOGUE[dataset]
-            counts = self.validated(dataset).agg(
-                *[F.count(F.when(rules.has_any(rule.flag), 1)).alias(f"c{rule.bit}") for rule in catalogue]
+            counts = self.validated(dataset).selectExpr(
+                *[f"count_if({rules.hit_sql(rule.flag)}) AS c{rule.bit}" for rule in catalogue]
             )
             entries = [
-                F.struct(
-                    F.lit(dataset).alias("dataset"), F.lit(rule.issue_type).alias("issue_type"),
-                    F.lit(rule.severity).alias("severity"), F.lit(rule.action).alias("action"),
-                    F.lit(rule.name == rules.CASCADE_RULE).alias("cascade"),
-                    F.col(f"c{rule.bit}").alias("hits"),
-                )
+                {
+                    "dataset": quoted(dataset), "issue_type": quoted(rule.issue_type),
+                    "severity": quoted(rule.severity), "action": quoted(rule.action),
+                    "hits": f"c{rule.bit}",
+                }
                 for rule in catalogue
             ]
-            parts.append(counts.select(F.inline(F.array(*entries))))
+            parts.append(unfold(counts, entries))
         return reduce(DataFrame.unionAll, parts)
 
     def issue_counts(self) -> DataFrame:
@@ -122,31 +122,26 @@ class Staging:
             "dataset", F.col("issue_type").alias("control"), "severity", "action", "issue_count",
             F.when(F.col("action") == "FAIL_PIPELINE", "FAIL").otherwise("WARNING").alias("status"),
         )
-        critical = F.col("action") == "FAIL_PIPELINE"
         # Gate names, each with the findings that would fail it.
         gates = (
-            ("PRIMARY_KEYS_PRESENT", F.col("issue_type") == "MISSING_PRIMARY_KEY"),
-            ("DIMENSION_DOMAINS_VALID", critical & (F.col("issue_type") == "INVALID_CATEGORY")),
-            ("DIMENSION_AMOUNTS_VALID", F.col("issue_type") == "INVALID_PRODUCT_AMOUNT"),
-            ("SOURCE_FILES_READABLE", F.lit(False)),
-            ("CRITICAL_ERROR_THRESHOLD", critical),
+            ("PRIMARY_KEYS_PRESENT", "issue_type = 'MISSING_PRIMARY_KEY'"),
+            ("DIMENSION_DOMAINS_VALID", "action = 'FAIL_PIPELINE' AND issue_type = 'INVALID_CATEGORY'"),
+            ("DIMENSION_AMOUNTS_VALID", "issue_type = 'INVALID_PRODUCT_AMOUNT'"),
+            ("SOURCE_FILES_READABLE", "false"),
+            ("CRITICAL_ERROR_THRESHOLD", "action = 'FAIL_PIPELINE'"),
         )
-        counted = self.issue_summary().agg(
-            *[
-                F.coalesce(F.sum(F.when(broken, F.col("hits"))), F.lit(0)).alias(f"g{n}")
-                for n, (_, broken) in enumerate(gates)
-            ]
+        counted = self.issue_summary().selectExpr(
+            *[f"coalesce(sum(hits) FILTER (WHERE {broken}), 0) AS g{n}" for n, (_, broken) in enumerate(gates)]
         )
         entries = [
-            F.struct(
-                F.lit("enterprise").alias("dataset"), F.lit(name).alias("control"),
-                F.lit("CRITICAL").alias("severity"), F.lit("NONE").alias("action"),
-                F.col(f"g{n}").cast("bigint").alias("issue_count"),
-                F.when(F.col(f"g{n}") == 0, "PASS").otherwise("FAIL").alias("status"),
-            )
+            {
+                "dataset": "'enterprise'", "control": quoted(name), "severity": "'CRITICAL'",
+                "action": "'NONE'", "issue_count": f"g{n}",
+                "status": f"CASE WHEN g{n} = 0 THEN 'PASS' ELSE 'FAIL' END",
+            }
             for n, (name, _) in enumerate(gates)
         ]
-        return kinds.unionByName(counted.select(F.inline(F.array(*entries))))
+        return kinds.unionByName(unfold(counted, entries))
 
     def require_no_critical(self) -> None:
         """Raise with the first messages when a critical rule hit any record."""
@@ -188,16 +183,13 @@ class Staging:
         """
         parts = []
         for dataset in fixed.DATASETS:
-            held = rules.quarantined(dataset)
-            repeated = rules.has_any(rules.flags_with(dataset, name="repeated_key"))
+            held = rules.hit_sql(rules.flags_with(dataset, action="QUARANTINE"))
+            repeated = rules.hit_sql(rules.flags_with(dataset, name="repeated_key"))
             parts.append(
-                self.validated(dataset).agg(
-                    F.lit(dataset).alias("dataset"),
-                    F.coalesce(F.sum("copies"), F.lit(0)).alias("source_rows"),
-                    F.count(F.lit(1)).alias("unique_rows"),
-                    F.count(F.when(~held, 1)).alias("loaded_rows"),
-                    F.count(F.when(held, 1)).alias("quarantined_rows"),
-                    F.count(F.when(repeated, 1)).alias("duplicate_keys"),
+                self.validated(dataset).selectExpr(
+                    f"'{dataset}' AS dataset", "coalesce(sum(copies), 0) AS source_rows",
+                    "count(*) AS unique_rows", f"count_if(NOT ({held})) AS loaded_rows",
+                    f"count_if({held}) AS quarantined_rows", f"count_if({repeated}) AS duplicate_keys",
                 )
             )
         return reduce(DataFrame.unionAll, parts)

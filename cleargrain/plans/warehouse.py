@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleargrain.functions.clean import null_if_blank
 from cleargrain.operators import audit, rules
 from cleargrain.operators.reconcile import DataQualityError, require_balanced
 from cleargrain.plans.staging import Staging
@@ -22,96 +24,86 @@ MONTHS = {
 class Warehouse:
     """Named tables plus the two enriched grains that analytics read."""
 
-    def __init__(self, tables: dict[str, DataFrame], enriched: dict[str, DataFrame] | None = None):
-        self._tables = tables
-        self._enriched = enriched or {}
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self._given = tables
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._tables[name]
+        return self._given[name]
 
     @property
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self._tables)
+        return {name: self[name] for name in schemas.WAREHOUSE}
 
-    @property
+    @cached_property
     def enriched_orders(self) -> DataFrame:
-        """Orders with their customer's segment and region and product's category.
-
-        Staging carries these from its reference lookups, so no join is paid
-        again; a warehouse of plain tables joins its dimensions.
-        """
-        if "orders" in self._enriched:
-            return self._enriched["orders"]
+        """Orders with their customer's segment and region and product's category."""
         customers = self["dim_customer"].select("customer_id", "customer_segment", "region")
         products = self["dim_product"].select("product_id", "product_category")
         return self["fact_order"].join(customers, "customer_id").join(products, "product_id")
 
-    @property
+    @cached_property
     def enriched_tickets(self) -> DataFrame:
-        if "tickets" in self._enriched:
-            return self._enriched["tickets"]
         customers = self["dim_customer"].select("customer_id", "customer_segment")
         return self["fact_support_ticket"].join(customers, "customer_id")
 
 
-def staged_warehouse(staging: Staging) -> Warehouse:
-    """Lazy warehouse tables over the staged records."""
+class StagedWarehouse(Warehouse):
+    """Lazy warehouse tables over the staged records.
 
-    def rows(dataset: str) -> DataFrame:
-        return staging.loaded(dataset).withColumn("quality_flag", rules.quality_flag(dataset))
+    The enriched grains need no join here: validation looked the references up
+    and staging kept what it found.
+    """
 
-    def held(dataset: str) -> DataFrame:
-        return staging.quarantined(dataset).withColumn("quarantine_reason", rules.reason(dataset))
+    # Dataset behind each table; quarantine columns that turn blank text to NULL.
+    _LOADED = {
+        "dim_customer": "customers", "dim_product": "products", "fact_order": "orders",
+        "fact_support_ticket": "support_tickets", "fact_finance_transaction": "finance_transactions",
+    }
+    _HELD = {
+        "order_quarantine": ("orders", ("customer_id", "product_id", "order_date")),
+        "support_ticket_quarantine": ("support_tickets", ("customer_id", "opened_at")),
+        "finance_transaction_quarantine": ("finance_transactions", ("order_id", "posted_date")),
+    }
 
-    def blank_as_null(*names: str) -> list:
-        return [null_if_blank(F.col(name)).alias(name) for name in names]
+    def __init__(self, staging: Staging):
+        super().__init__({})
+        self._staging = staging
+        self._built: dict[str, DataFrame] = {}
 
-    order_columns = (
-        "order_id", "customer_id", "product_id", "order_date", "order_month", "quantity",
-        "unit_price_cents", "discount_basis_points", "order_amount_cents", "order_status",
-        "channel", "quality_flag",
-    )
-    ticket_columns = (
-        "ticket_id", "customer_id", "opened_at", "opened_month", "resolved_at", "ticket_status",
-        "priority", "issue_category", "resolution_hours", "satisfaction_score", "quality_flag",
-    )
-    orders, tickets = rows("orders"), rows("support_tickets")
-    tables = {
-        "dim_customer": rows("customers").select(
-            "customer_id", "customer_name", "customer_segment", "region", "created_date",
-            "crm_status", "quality_flag",
-        ),
-        "dim_product": rows("products").select(
-            "product_id", "product_name", "product_category", "unit_price_cents",
-            "unit_cost_cents", "active_flag", "quality_flag",
-        ),
-        "fact_order": orders.select(*order_columns),
-        "fact_support_ticket": tickets.select(*ticket_columns),
-        "fact_finance_transaction": rows("finance_transactions").select(
-            "finance_transaction_id", "order_id", "posted_date", "posted_month", "transaction_type",
-            "transaction_amount_cents", "currency", "posting_status", "quality_flag",
-        ),
-        "order_quarantine": held("orders").select(
-            "order_id", *blank_as_null("customer_id", "product_id", "order_date"),
-            "order_amount_cents", "quarantine_reason",
-        ),
-        "support_ticket_quarantine": held("support_tickets").select(
-            "ticket_id", *blank_as_null("customer_id", "opened_at"), "quarantine_reason",
-        ),
-        "finance_transaction_quarantine": held("finance_transactions").select(
-            "finance_transaction_id", *blank_as_null("order_id", "posted_date"),
-            "transaction_amount_cents", "quarantine_reason",
-        ),
-        "data_quality_exception": staging.exceptions(),
-        "etl_control": staging.reconciliation(),
-    }
-    return Warehouse(
-        tables,
-        {
-            "orders": orders.select(*order_columns, "customer_segment", "region", "product_category"),
-            "tickets": tickets.select(*ticket_columns, "customer_segment"),
-        },
-    )
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def _build(self, name: str) -> DataFrame:
+        if name == "data_quality_exception":
+            return self._staging.exceptions()
+        if name == "etl_control":
+            return self._staging.reconciliation()
+        columns = schemas.WAREHOUSE[name].names
+        if name in self._LOADED:
+            dataset = self._LOADED[name]
+            rows = self._staging.loaded(dataset).withColumn("quality_flag", rules.quality_flag(dataset))
+            return rows.select(*columns)
+        dataset, blanks = self._HELD[name]
+        held = self._staging.quarantined(dataset).withColumn("quarantine_reason", rules.reason(dataset))
+        return held.selectExpr(
+            *[f"nullif({column}, '') AS {column}" if column in blanks else column for column in columns]
+        )
+
+    @cached_property
+    def enriched_orders(self) -> DataFrame:
+        return self._staging.loaded("orders").select(
+            *[name for name in schemas.WAREHOUSE["fact_order"].names if name != "quality_flag"],
+            "customer_segment", "region", "product_category",
+        )
+
+    @cached_property
+    def enriched_tickets(self) -> DataFrame:
+        return self._staging.loaded("support_tickets").select(
+            *[name for name in schemas.WAREHOUSE["fact_support_ticket"].names if name != "quality_flag"],
+            "customer_segment",
+        )
 
 
 def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
@@ -123,7 +115,7 @@ def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
     """
     staging.require_no_critical()
     folder = f"{target}/versions/{run_id}"
-    for name, frame in staged_warehouse(staging).tables.items():
+    for name, frame in StagedWarehouse(staging).tables.items():
         _write_table(name, frame, f"{folder}/{name}")
     written = open_version(staging.spark, folder)
     require_balanced(written["etl_control"])
