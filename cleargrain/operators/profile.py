@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -11,8 +12,11 @@ from cleargrain.functions import fixed
 from cleargrain.functions.unfold import named, quoted, unfold
 from cleargrain.sources.raw import data_columns
 
+# Text worth parsing: a failed parse costs far more than this match.
+_NUMBER = r"^\\s*[+-]?[0-9_]*[.]?[0-9_]+[.]?([eE][+-]?[0-9]+)?\\s*$"
 
-def profile_tables(sources: dict[str, DataFrame]) -> DataFrame:
+
+def profile_tables(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns, repeated rows and repeated keys per dataset."""
     return reduce(
         DataFrame.unionAll,
@@ -65,7 +69,7 @@ def _value_counts(dataset: str, source: DataFrame) -> DataFrame:
     )
 
 
-def top_values(sources: dict[str, DataFrame]) -> DataFrame:
+def top_values(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Most frequent values per column, by count then value.
 
     The limit applies within every task first, so a key column's distinct
@@ -83,7 +87,7 @@ def top_values(sources: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def profile_columns(sources: dict[str, DataFrame]) -> DataFrame:
+def profile_columns(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Completeness, uniqueness, range and numeric summary per column."""
     return reduce(
         DataFrame.unionAll,
@@ -93,20 +97,23 @@ def profile_columns(sources: dict[str, DataFrame]) -> DataFrame:
 
 def _profile_columns(dataset: str, source: DataFrame) -> DataFrame:
     """One ungrouped scan for the ranges, one value count for uniqueness."""
-    measures, entries = [], []
-    for n, name in enumerate(data_columns(source)):
-        value = f"nullif({named(name)}, '')"
-        parsed = f"try_cast(translate({value}, '_', '') AS DECIMAL(38,18))"
+    columns = data_columns(source)
+    parsed, measures, entries = [], [], []
+    for n, name in enumerate(columns):
+        parsed += [
+            f"nullif({named(name)}, '') AS v{n}",
+            f"CASE WHEN {named(name)} RLIKE '{_NUMBER}' THEN"
+            f" try_cast(translate({named(name)}, '_', '') AS DECIMAL(38,18)) END AS d{n}",
+        ]
         measures += [
-            f"count(*) AS r{n}", f"count({value}) AS p{n}", f"min({value}) AS lo{n}", f"max({value}) AS hi{n}",
-            f"count({parsed}) AS c{n}", f"min({parsed}) AS min{n}", f"max({parsed}) AS max{n}",
-            f"sum({parsed}) AS sum{n}",
+            f"count(*) AS r{n}", f"count(v{n}) AS p{n}", f"min(v{n}) AS lo{n}", f"max(v{n}) AS hi{n}",
+            f"count(d{n}) AS c{n}", f"min(d{n}) AS min{n}", f"max(d{n}) AS max{n}", f"sum(d{n}) AS sum{n}",
         ]
         entries.append({
             "column_name": quoted(name), "rows": f"r{n}", "populated": f"p{n}", "min_value": f"lo{n}",
             "max_value": f"hi{n}", "parsed": f"c{n}", "low": f"min{n}", "high": f"max{n}", "total": f"sum{n}",
         })
-    ranges = unfold(source.selectExpr(*measures), entries)
+    ranges = unfold(source.selectExpr(*parsed).selectExpr(*measures), entries)
     distinct = _value_counts(dataset, source).groupBy("column_name").agg(F.count(F.lit(1)).alias("values"))
     numeric = (F.col("populated") > 0) & (F.col("parsed") == F.col("populated"))
     unique = F.coalesce(F.col("values"), F.lit(0))
@@ -128,7 +135,7 @@ def _profile_columns(dataset: str, source: DataFrame) -> DataFrame:
     )
 
 
-def profile_totals(sources: dict[str, DataFrame]) -> DataFrame:
+def profile_totals(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, repeated rows and blank cells over all datasets, without value counts."""
     tables = profile_tables(sources).agg(
         F.sum("row_count").alias("rows_profiled"), F.sum("duplicate_row_count").alias("duplicate_rows")

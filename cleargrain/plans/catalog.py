@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +35,37 @@ RAW_REFERENCES = (
 )
 
 
+class LandedSources(Mapping[str, DataFrame]):
+    """Derived sources, each written once on first use and read back after.
+
+    The recipes rebuild raw text from the given tables; landing them gives the
+    jobs plain files to scan, with their own column pruning and pushdown.
+    """
+
+    def __init__(self, derived: dict[str, DataFrame], folder: str):
+        self._derived, self._folder = derived, folder
+        self._landed: dict[str, DataFrame] = {}
+
+    def __getitem__(self, dataset: str) -> DataFrame:
+        if dataset not in self._landed:
+            self._landed[dataset] = storage.write_then_read(
+                self._derived[dataset], f"{self._folder}/{dataset}"
+            )
+        return self._landed[dataset]
+
+    def __iter__(self):
+        return iter(self._derived)
+
+    def __len__(self) -> int:
+        return len(self._derived)
+
+
 class Workspace:
     """Staging, warehouse views and the lazy frames that several queries share."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.sources = derive_sources(spark, sf_dir)
+        folder = storage.fresh_folder(spark, "landing")
+        self.sources = LandedSources(derive_sources(spark, sf_dir), folder)
         self.staging = Staging(spark, self.sources)
         self.warehouse = StagedWarehouse(self.staging)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,7 @@ class Staging:
     re-read instead of the whole lineage.
     """
 
-    def __init__(self, spark: SparkSession, sources: dict[str, DataFrame], folder: str | None = None):
+    def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], folder: str | None = None):
         self.spark = spark
         self.sources = sources
         self.folder = folder or storage.fresh_folder(spark, "staging")
