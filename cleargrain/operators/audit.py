@@ -112,15 +112,16 @@ def key_audit(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def reference_audit(tables: dict[str, DataFrame], names: tuple[str, ...] | None = None) -> DataFrame:
-    """Fact rows whose parent is missing, per foreign key."""
+    """Fact rows whose parent is missing, per foreign key; counted per key before the join."""
     audits = []
     for control, child, column, parent in REFERENCES:
         if names is not None and control not in names:
             continue
-        held = tables[child].select(F.col(column).alias("value"))
+        held = tables[child].groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
         known = tables[parent].select(F.col(PRIMARY_KEYS[parent]).alias("value"))
-        orphans = held.join(known, "value", "left_anti")
         audits.append(
-            orphans.agg(F.lit(control).alias("control_name"), F.count(F.lit(1)).alias("issue_count"))
+            held.join(known, "value", "left_anti").agg(
+                F.lit(control).alias("control_name"), F.coalesce(F.sum("rows"), F.lit(0)).alias("issue_count")
+            )
         )
     return reduce(DataFrame.unionAll, audits)

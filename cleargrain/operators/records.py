@@ -41,12 +41,12 @@ def invalid_references(
 ) -> DataFrame:
     """Records whose populated foreign key is absent from the parent table.
 
-    A blank key is not an invalid one. The parent side is reduced to distinct
-    keys by the anti join itself; only key columns travel.
+    A blank key is not an invalid one.
     """
     held = child.where(~is_blank(F.col(field))).select(F.col(key).alias("record_id"), F.col(field).alias("value"))
-    known = parent.select(F.col(parent_key).alias("value"))
-    return held.join(known, "value", "left_anti").select("record_id", "value")
+    known = parent.select(F.col(parent_key).alias("parent_value")).distinct()
+    checked = lookup(held, "value", "record_id", known, "parent_value", {}, "known", hot_keys(held, "value"))
+    return checked.where(~F.col("known")).select("record_id", "value")
 
 
 def keep_first(
@@ -72,33 +72,64 @@ def keep_first(
     )
 
 
+# A key with at least one row in this many is hot; no more keys than this can be.
+HOT_SHARE = 32
+
+
+def hot_keys(frame: DataFrame, key: str) -> DataFrame:
+    """Keys holding a large share of the rows: ``hot_key``, at most ``HOT_SHARE`` rows.
+
+    A frequent-items sketch reads one column and keeps a fixed number of
+    counters per task, far more than needed to catch every key this frequent.
+    It only decides how rows travel; results never depend on it.
+    """
+    tracked = 16 * HOT_SHARE
+    return (
+        frame.where(~is_blank(F.col(key)))
+        .selectExpr(f"approx_top_k({key}, {HOT_SHARE}, {tracked}) AS top", "count(*) AS total")
+        .selectExpr("inline(top)", "total")
+        .where(F.col("count") * HOT_SHARE >= F.col("total"))
+        .select(F.col("item").alias("hot_key"))
+    )
+
+
 def lookup(
     facts: DataFrame, fact_key: str, record_key: str, parents: DataFrame, parent_key: str,
-    carry: dict[str, str], found: str,
+    carry: dict[str, str], found: str, hot: DataFrame,
 ) -> DataFrame:
     """Left-join the parent's ``carry`` columns and a ``found`` flag onto facts.
 
-    Parent keys are unique. Rows with a blank foreign key cannot match; they
-    are scattered over the shuffle by their own record key rather than meeting
-    in one partition. A populated hot key is left to the adaptive skew join,
-    which splits the fact side; a small parent is broadcast by its size.
+    Parent keys are unique. Rows of a hot key take their parent from a
+    broadcast of the few hot parents; those rows and rows with a blank key are
+    then spread over the shuffle join by their own record key, so no partition
+    gathers them. All other rows join by key as usual.
     """
     blank = is_blank(F.col(fact_key))
-    own = F.coalesce(F.col(record_key), F.lit(""))
-    facts = facts.withColumn(
-        "_lookup", F.when(blank, F.concat(F.lit("\u0000"), own)).otherwise(F.col(fact_key))
+    is_hot = F.col("hot_key").isNotNull()
+    known = parents.where(~is_blank(F.col(parent_key))).select(
+        F.col(parent_key).alias("_parent"), *[F.col(source).alias(f"_{target}") for source, target in carry.items()]
     )
-    parents = parents.where(~is_blank(F.col(parent_key))).select(
-        F.col(parent_key).alias("_lookup"),
-        *[F.col(source).alias(target) for source, target in carry.items()],
-        F.lit(True).alias("_hit"),
+    hot_known = known.join(F.broadcast(hot), F.col("_parent") == F.col("hot_key")).select(
+        "hot_key", F.lit(True).alias("_hot_hit"),
+        *[F.col(f"_{target}").alias(f"_hot_{target}") for target in carry.values()],
     )
-    kept = [column for column in facts.columns if column != "_lookup"]
-    hit = F.coalesce(F.col("_hit"), F.lit(False)) & ~blank
-    return facts.join(parents, "_lookup", "left").select(
-        *kept,
-        *[F.when(hit, F.col(target)).alias(target) for target in carry.values()],
-        hit.alias(found),
+    # Both sides hold at most HOT_SHARE rows: parent keys are unique.
+    hot_table = hot.join(F.broadcast(hot_known), "hot_key", "left")
+    spread = F.concat(F.lit("\u0000"), F.coalesce(F.col(record_key), F.lit("")))
+    return (
+        facts.join(F.broadcast(hot_table), F.col(fact_key) == F.col("hot_key"), "left")
+        .withColumn("_lookup", F.when(blank | is_hot, spread).otherwise(F.col(fact_key)))
+        .join(
+            known.withColumnRenamed("_parent", "_lookup").withColumn("_hit", F.lit(True)),
+            "_lookup", "left",
+        )
+        .withColumn("_cold", F.coalesce(F.col("_hit"), F.lit(False)) & ~blank & ~is_hot)
+        .select(
+            *facts.columns,
+            *[
+                F.when(F.col("_cold"), F.col(f"_{target}")).otherwise(F.col(f"_hot_{target}")).alias(target)
+                for target in carry.values()
+            ],
+            (F.col("_cold") | F.coalesce(F.col("_hot_hit"), F.lit(False))).alias(found),
+        )
     )
-
-

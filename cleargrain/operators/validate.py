@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cleargrain.functions import clean, fixed
 from cleargrain.functions.clean import is_blank
-from cleargrain.operators.records import keep_first, lookup
+from cleargrain.operators.records import hot_keys, keep_first, lookup
 from cleargrain.operators.rules import CASCADE_RULE, MASK, flags_with, has_any, with_mask
 from cleargrain.sources.raw import ROW_ORDER
 
@@ -104,10 +104,11 @@ def validate_orders(source: DataFrame, customers: DataFrame, products: DataFrame
     rows = lookup(
         rows, "customer_id", "order_id", customers, "customer_id",
         {"customer_segment": "customer_segment", "region": "region"}, "customer_found",
+        hot_keys(source, "customer_id"),
     )
     rows = lookup(
         rows, "product_id", "order_id", products, "product_id",
-        {"product_category": "product_category"}, "product_found",
+        {"product_category": "product_category"}, "product_found", hot_keys(source, "product_id"),
     )
     rows = rows.select(
         "*",
@@ -153,7 +154,7 @@ def validate_orders(source: DataFrame, customers: DataFrame, products: DataFrame
 def validate_tickets(source: DataFrame, customers: DataFrame) -> DataFrame:
     rows = lookup(
         _first_rows("support_tickets", source), "customer_id", "ticket_id", customers, "customer_id",
-        {"customer_segment": "customer_segment"}, "customer_found",
+        {"customer_segment": "customer_segment"}, "customer_found", hot_keys(source, "customer_id"),
     ).select(
         "*",
         clean.priority(F.col("priority")).alias("governed_priority"),
@@ -199,7 +200,7 @@ def validate_finance(source: DataFrame, orders: DataFrame) -> DataFrame:
         _first_rows("finance_transactions", source), "order_id", "finance_transaction_id",
         judged, "order_id",
         {"order_amount_cents": "order_cents", "order_status": "sold_status", "order_loaded": "order_loaded"},
-        "order_found",
+        "order_found", hot_keys(source, "order_id"),
     ).select(
         "*",
         clean.finance_type(F.col("transaction_type")).alias("governed_type"),
