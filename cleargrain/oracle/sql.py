@@ -558,7 +558,7 @@ CTES["trends"] = f"""
            coalesce(ticket_volume, 0) AS ticket_volume,
            {_pct0('resolved_count', 'ticket_volume')} AS ticket_resolution_rate,
            {_pct0('within_sla', 'eligible_sla')} AS ticket_sla_rate, {_HOURS} AS average_resolution_hours,
-           round(z, 2) AS revenue_zscore,
+           round(z, 2) + 0.0 AS revenue_zscore,
            CASE WHEN abs(z) >= 2 THEN 'Y' ELSE 'N' END AS revenue_anomaly_flag
     FROM trend_base
 """

@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, name: str = "cleargrain") -> SparkSessio
         .config("spark.sql.adaptive.enabled", True)
         .config("spark.sql.adaptive.skewJoin.enabled", True)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", False)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
