@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.functions.clean import is_blank
@@ -49,26 +49,23 @@ def invalid_references(
     return checked.where(~F.col("known")).select("record_id", "value")
 
 
-def keep_first(
-    frame: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
-) -> DataFrame:
+def keep_first(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """First row of every key in the given order, with ``copies`` per key.
 
-    ``min_by`` combines before the shuffle: repeated keys, blank ones
-    included, never gather in one task. Blank text keys count as one key.
+    The minimum of whole rows, ordering columns first: remaining columns break
+    ties, so the choice never depends on partitioning. It combines before the
+    shuffle, so repeated keys, blank ones included, never gather in one task.
+    Blank text keys count as one key.
     """
     text_keys = {name for name, kind in frame.dtypes if kind == "string"}
     grouping = [
         F.coalesce(F.col(key), F.lit("")) if key in text_keys else F.col(key) for key in keys
     ]
-    columns = frame.columns
+    ranked = [*order_by, *[column for column in frame.columns if column not in order_by]]
     return (
         frame.groupBy(*[column.alias(f"_key{n}") for n, column in enumerate(grouping)])
-        .agg(
-            F.min_by(F.struct(*columns), F.struct(*order_by)).alias("first"),
-            F.count(F.lit(1)).alias("copies"),
-        )
-        .select("first.*", "copies")
+        .agg(F.min(F.struct(*ranked)).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select(*[f"first.{column}" for column in frame.columns], "copies")
     )
 
 

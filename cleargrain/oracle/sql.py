@@ -87,7 +87,8 @@ for _dataset, _recipe in RECIPES.items():
     )
     _key = fixed.KEYS[_dataset]
     CTES[f"uniq_{_dataset}"] = (
-        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY src_pass, k) AS nth,"
+        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY src_pass, k,"
+        f" {', '.join(fixed.RAW_COLUMNS[_dataset])}) AS nth,"
         f" count(*) OVER (PARTITION BY {_key}) AS copies FROM raw_{_dataset}) WHERE nth = 1"
     )
 

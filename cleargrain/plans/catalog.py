@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from cleargrain.operators import audit, profile, records, rules
 from cleargrain.plans import analytics, reports, storage
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.warehouse import StagedWarehouse, Warehouse
-from cleargrain.sources.adapter import BASE_TABLES, derive_sources
+from cleargrain.sources.adapter import BASE_TABLES, derive_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,30 +42,29 @@ class LandedSources(Mapping[str, DataFrame]):
     jobs plain files to scan, with their own column pruning and pushdown.
     """
 
-    def __init__(self, derived: dict[str, DataFrame], folder: str):
-        self._derived, self._folder = derived, folder
-        self._landed: dict[str, DataFrame] = {}
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._shelf = storage.Shelf(storage.fresh_folder(spark, "landing"))
 
     def __getitem__(self, dataset: str) -> DataFrame:
-        if dataset not in self._landed:
-            self._landed[dataset] = storage.write_then_read(
-                self._derived[dataset], f"{self._folder}/{dataset}"
-            )
-        return self._landed[dataset]
+        return self._shelf.get(dataset, lambda: derive_source(self._spark, self._sf_dir, dataset))
+
+    def land(self) -> LandedSources:
+        storage.at_once(*[partial(self.__getitem__, dataset) for dataset in self])
+        return self
 
     def __iter__(self):
-        return iter(self._derived)
+        return iter(fixed.DATASETS)
 
     def __len__(self) -> int:
-        return len(self._derived)
+        return len(fixed.DATASETS)
 
 
 class Workspace:
     """Staging, warehouse views and the lazy frames that several queries share."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        folder = storage.fresh_folder(spark, "landing")
-        self.sources = LandedSources(derive_sources(spark, sf_dir), folder)
+        self.sources = LandedSources(spark, sf_dir)
         self.staging = Staging(spark, self.sources)
         self.warehouse = StagedWarehouse(self.staging)
 
@@ -116,10 +115,10 @@ def _each_source(ws: Workspace, build: Callable[[str, DataFrame], DataFrame]) ->
 
 # --- Profiles ---------------------------------------------------------------
 
-_query(lambda ws: profile.profile_tables(ws.sources), "profile_tables")
-_query(lambda ws: profile.profile_columns(ws.sources), "profile_columns")
-_query(lambda ws: profile.top_values(ws.sources), "profile_top_values")
-_query(lambda ws: profile.profile_totals(ws.sources), "profile_totals")
+_query(lambda ws: profile.profile_tables(ws.sources.land()), "profile_tables")
+_query(lambda ws: profile.profile_columns(ws.sources.land()), "profile_columns")
+_query(lambda ws: profile.top_values(ws.sources.land()), "profile_top_values")
+_query(lambda ws: profile.profile_totals(ws.sources.land()), "profile_totals")
 
 # --- Data-quality primitives --------------------------------------------------
 

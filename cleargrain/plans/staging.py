@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from functools import reduce
+from collections.abc import Mapping
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,27 +27,34 @@ class Staging:
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], folder: str | None = None):
         self.spark = spark
         self.sources = sources
-        self.folder = folder or storage.fresh_folder(spark, "staging")
-        self._tables: dict[str, DataFrame] = {}
+        self._shelf = storage.Shelf(folder or storage.fresh_folder(spark, "staging"))
 
-    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = storage.write_then_read(build(), f"{self.folder}/{name}")
-        return self._tables[name]
+    def prepare(self, *datasets: str) -> None:
+        """Validate several datasets, independent ones at the same time."""
+        storage.at_once(*[partial(self.validated, dataset) for dataset in datasets])
 
     def validated(self, dataset: str) -> DataFrame:
         """Deduplicated, typed and judged records of one dataset."""
-        source = self.sources[dataset]
-        builders = {
-            "customers": lambda: validate.validate_customers(source),
-            "products": lambda: validate.validate_products(source),
-            "orders": lambda: validate.validate_orders(
-                source, self.validated("customers"), self.validated("products")
-            ),
-            "support_tickets": lambda: validate.validate_tickets(source, self.validated("customers")),
-            "finance_transactions": lambda: validate.validate_finance(source, self.validated("orders")),
-        }
-        return self._once(dataset, builders[dataset])
+        parents = {
+            "orders": ("customers", "products"),
+            "support_tickets": ("customers",),
+            "finance_transactions": ("orders",),
+        }.get(dataset, ())
+        judge = {
+            "customers": validate.validate_customers,
+            "products": validate.validate_products,
+            "orders": validate.validate_orders,
+            "support_tickets": validate.validate_tickets,
+            "finance_transactions": validate.validate_finance,
+        }[dataset]
+
+        def build() -> DataFrame:
+            storage.at_once(
+                partial(self.sources.__getitem__, dataset), *[partial(self.validated, parent) for parent in parents]
+            )
+            return judge(self.sources[dataset], *[self.validated(parent) for parent in parents])
+
+        return self._shelf.get(dataset, build)
 
     def loaded(self, dataset: str) -> DataFrame:
         return self.validated(dataset).where(~rules.quarantined(dataset))
@@ -57,6 +64,7 @@ class Staging:
 
     def issues(self) -> DataFrame:
         """Every finding with its emission order, unnumbered."""
+        self.prepare(*fixed.DATASETS)
         return reduce(
             DataFrame.unionByName,
             [
@@ -69,6 +77,7 @@ class Staging:
         """Findings numbered in emission order: ``exception_id`` plus the issue columns."""
 
         def placed() -> DataFrame:
+            self.prepare(*fixed.DATASETS)
             parts = [
                 place(rules.list_issues(dataset, self.validated(dataset)), rules.EMISSION_ORDER)
                 for dataset in fixed.DATASETS
@@ -76,7 +85,7 @@ class Staging:
             kept = (*rules.ISSUE_COLUMNS, "phase", "dataset_no", "part", "place")
             return reduce(DataFrame.unionByName, [part.select(*kept) for part in parts])
 
-        numbered = number(self._once("placed_issues", placed), ["phase", "dataset_no"], "issue_no")
+        numbered = number(self._shelf.get("placed_issues", placed), ["phase", "dataset_no"], "issue_no")
         return numbered.select(
             F.format_string("DQ%06d", F.col("issue_no")).alias("exception_id"), *rules.ISSUE_COLUMNS
         )
@@ -87,6 +96,7 @@ class Staging:
         Counting set bits needs no exploded list: one scan per dataset and a
         single row of counts from each.
         """
+        self.prepare(*fixed.DATASETS)
         parts = []
         for dataset in fixed.DATASETS:
             catalogue = rules.CATALOGUE[dataset]
@@ -181,6 +191,7 @@ class Staging:
 
         Source rows are the copies folded into each kept row.
         """
+        self.prepare(*fixed.DATASETS)
         parts = []
         for dataset in fixed.DATASETS:
             held = rules.hit_sql(rules.flags_with(dataset, action="QUARANTINE"))

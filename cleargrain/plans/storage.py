@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +38,31 @@ def write_then_read(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+class Shelf:
+    """Tables written once each and read back, safe to ask from several threads."""
+
+    def __init__(self, folder: str):
+        self._folder = folder
+        self._tables: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = defaultdict(Lock)
+        self._guard = Lock()
+
+    def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with self._guard:
+            lock = self._locks[name]
+        with lock:
+            if name not in self._tables:
+                self._tables[name] = write_then_read(build(), f"{self._folder}/{name}")
+            return self._tables[name]
+
+
+def at_once(*tasks: Callable[[], object]) -> None:
+    """Submit independent jobs together, so one fills the cores another leaves idle."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        for future in [pool.submit(task) for task in tasks]:
+            future.result()
+
+
 def fingerprint(spark: SparkSession, path: str, names: tuple[str, ...]) -> tuple:
     """Size and change time of every input, to notice that tables were replaced."""
     context = spark.sparkContext
