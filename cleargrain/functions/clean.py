@@ -68,7 +68,8 @@ def finance_type(value: Column) -> Column:
 
 def to_decimal(value: Column) -> Column:
     """Number in the text, or NULL; digit-grouping underscores are allowed."""
-    return F.translate(value, "_", "").try_cast("decimal(38,18)")
+    digits = F.when(value.contains("_"), F.translate(value, "_", "")).otherwise(value)
+    return digits.try_cast("decimal(38,18)")
 
 
 def cents(amount: Column) -> Column:

@@ -100,10 +100,11 @@ def _profile_columns(dataset: str, source: DataFrame) -> DataFrame:
     columns = data_columns(source)
     parsed, measures, entries = [], [], []
     for n, name in enumerate(columns):
+        text = named(name)
+        digits = f"CASE WHEN contains({text}, '_') THEN translate({text}, '_', '') ELSE {text} END"
         parsed += [
-            f"nullif({named(name)}, '') AS v{n}",
-            f"CASE WHEN {named(name)} RLIKE '{_NUMBER}' THEN"
-            f" try_cast(translate({named(name)}, '_', '') AS DECIMAL(38,18)) END AS d{n}",
+            f"nullif({text}, '') AS v{n}",
+            f"CASE WHEN {text} RLIKE '{_NUMBER}' THEN try_cast({digits} AS DECIMAL(38,18)) END AS d{n}",
         ]
         measures += [
             f"count(*) AS r{n}", f"count(v{n}) AS p{n}", f"min(v{n}) AS lo{n}", f"max(v{n}) AS hi{n}",

@@ -12,7 +12,7 @@ from cleargrain.functions import fixed
 from cleargrain.functions.unfold import quoted, unfold
 from cleargrain.operators import rules, validate
 from cleargrain.operators.numbering import number, place
-from cleargrain.operators.reconcile import DataQualityError, reconcile
+from cleargrain.operators.reconcile import DataQualityError
 from cleargrain.plans import storage
 
 
@@ -168,24 +168,6 @@ class Staging:
         lines = "\n".join(f"{row.dataset}/{row.record_id}: {row.message}" for row in shown)
         raise DataQualityError(f"Critical source validation failed:\n{lines}")
 
-    def reconciliation(self) -> DataFrame:
-        """Count and amount controls of the three fact sources."""
-        amounts = {
-            "orders": ("source_amount", "order_amount_cents"),
-            "support_tickets": (None, None),
-            "finance_transactions": ("source_amount", "transaction_amount_cents"),
-        }
-        return reduce(
-            DataFrame.unionAll,
-            [
-                reconcile(
-                    dataset, self.validated(dataset), self.loaded(dataset), self.quarantined(dataset),
-                    source_amount, target_amount,
-                )
-                for dataset, (source_amount, target_amount) in amounts.items()
-            ],
-        )
-
     def counts(self) -> DataFrame:
         """Source, unique, loaded and quarantined rows, and repeated keys, per dataset.
 

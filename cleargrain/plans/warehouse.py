@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleargrain.operators import audit, rules
-from cleargrain.operators.reconcile import DataQualityError, require_balanced
+from cleargrain.operators.reconcile import DataQualityError, reconcile, require_balanced
 from cleargrain.plans.staging import Staging
+from cleargrain.plans.storage import at_once
 from cleargrain.sources import schemas
 
 # Published tables and their month columns.
@@ -79,7 +80,7 @@ class StagedWarehouse(Warehouse):
         if name == "data_quality_exception":
             return self._staging.exceptions()
         if name == "etl_control":
-            return self._staging.reconciliation()
+            return reconciliation(self._staging, self)
         columns = schemas.WAREHOUSE[name].names
         if name in self._LOADED:
             dataset = self._LOADED[name]
@@ -106,17 +107,44 @@ class StagedWarehouse(Warehouse):
         )
 
 
+def reconciliation(staging: Staging, warehouse: Warehouse) -> DataFrame:
+    """Controls that each unique source row and cent is either loaded or quarantined."""
+    # Dataset, its two tables and its amount columns.
+    sides = (
+        ("orders", "fact_order", "order_quarantine", "source_amount", "order_amount_cents"),
+        ("support_tickets", "fact_support_ticket", "support_ticket_quarantine", None, None),
+        ("finance_transactions", "fact_finance_transaction", "finance_transaction_quarantine",
+         "source_amount", "transaction_amount_cents"),
+    )
+    return reduce(
+        DataFrame.unionAll,
+        [
+            reconcile(dataset, staging.validated(dataset), warehouse[fact], warehouse[held], source, target)
+            for dataset, fact, held, source, target in sides
+        ],
+    )
+
+
 def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
     """Write, audit, then announce a warehouse version.
 
-    Tables go to a folder of their own. Only when every control holds is one
+    Tables go to a folder of their own; counts, cents, constraints, keys and
+    references are then checked on what was written. Only when all hold is one
     row appended to the publication log; a failed run leaves readers on the
     version they had.
     """
     staging.require_no_critical()
     folder = f"{target}/versions/{run_id}"
-    for name, frame in StagedWarehouse(staging).tables.items():
-        _write_table(name, frame, f"{folder}/{name}")
+    staged = StagedWarehouse(staging)
+    at_once(
+        *[
+            partial(_write_table, name, staged[name], f"{folder}/{name}")
+            for name in schemas.WAREHOUSE
+            if name != "etl_control"
+        ]
+    )
+    written = open_version(staging.spark, folder, ("etl_control",))
+    _write_table("etl_control", reconciliation(staging, written), f"{folder}/etl_control")
     written = open_version(staging.spark, folder)
     require_balanced(written["etl_control"])
     _require_sound(written.tables)
@@ -153,12 +181,13 @@ def _require_sound(tables: dict[str, DataFrame]) -> None:
         raise DataQualityError("Warehouse validation failed: " + "; ".join(problems))
 
 
-def open_version(spark: SparkSession, folder: str) -> Warehouse:
+def open_version(spark: SparkSession, folder: str, without: tuple[str, ...] = ()) -> Warehouse:
     """Tables of one version, read with their fixed schemas."""
     return Warehouse(
         {
             name: spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names)
             for name, schema in schemas.WAREHOUSE.items()
+            if name not in without
         }
     )
 

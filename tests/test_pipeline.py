@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from cleargrain.operators import audit
 from cleargrain.operators.reconcile import DataQualityError, reconcile, require_balanced
 from cleargrain.plans.staging import Staging
-from cleargrain.plans.warehouse import StagedWarehouse, open_latest, publish
+from cleargrain.plans.warehouse import StagedWarehouse, open_latest, publish, reconciliation
 from cleargrain.sources import schemas
 
 
@@ -39,7 +39,7 @@ def test_clean_sources_raise_no_issue(spark, make_sources, rows):
     staging.require_no_critical()
     statuses = rows(staging.controls(), "control", "status", "issue_count")
     assert len(statuses) == 5 and {status for _, status, _ in statuses} == {"PASS"}
-    assert {row.status for row in staging.reconciliation().collect()} == {"PASS"}
+    assert {row.status for row in reconciliation(staging, StagedWarehouse(staging)).collect()} == {"PASS"}
 
 
 def test_routing_and_flags(mixed, rows):
