@@ -42,7 +42,7 @@ GOOD = {
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, "tests")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 
