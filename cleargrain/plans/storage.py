@@ -9,6 +9,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
@@ -58,8 +59,9 @@ class Shelf:
 
 def at_once(*tasks: Callable[[], object]) -> None:
     """Submit independent jobs together, so one fills the cores another leaves idle."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(tasks)) as pool:
-        for future in [pool.submit(task) for task in tasks]:
+        for future in [pool.submit(inherit(task)) for task in tasks]:
             future.result()
 
 
