@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         values = batch.column(column)
         if not len(batch):
             continue
-        ends = np.cumsum(np.fromiter((x or 0 for x in pa.compute.binary_length(values).to_pylist()), np.int64, len(batch)))
+        ends = np.cumsum(np.fromiter((x or 0 for x in pc.binary_length(values).to_pylist()), np.int64, len(batch)))
         first = 0
         while first < len(batch):
             base = ends[first - 1] if first else 0
