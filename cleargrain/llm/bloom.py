@@ -9,6 +9,7 @@ always follows it; it never loses one.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,3 +81,13 @@ def held(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     for i in range(_BITS):
         mask |= np.uint64(1) << ((h >> np.uint64(6 * i)) & np.uint64(63))
     return (words.view(np.uint64)[at] & mask) == mask
+
+
+def maybe(filter_: Broadcast, hashed: Column) -> Column:
+    """The second pass as a column over a hash without nulls."""
+
+    @F.pandas_udf("boolean")
+    def look(h: pd.Series) -> pd.Series:
+        return pd.Series(held(filter_.value, h.to_numpy(np.int64)))
+
+    return look(hashed)

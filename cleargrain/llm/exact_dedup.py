@@ -41,20 +41,12 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return narrow(docs, id_col, text_col).mapInArrow(digest, "id long, sha binary, h long")
 
 
-def _maybe(filter_, hashed: str):
-    @F.pandas_udf("boolean")
-    def held(h: pd.Series) -> pd.Series:
-        return pd.Series(bloom.held(filter_.value, h.to_numpy(np.int64)))
-
-    return held(F.col(hashed))
-
-
 def group_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: id, sha, keep_id (of the row that stays), group_size, kept."""
     spark = docs.sparkSession
     rows = storage.write_then_read(digests(docs, id_col, text_col), storage.fresh_folder(spark, "digests"))
     seen = bloom.repeated(rows.select("h"))
-    marked = rows.withColumn("maybe", _maybe(seen, "h"))
+    marked = rows.withColumn("maybe", bloom.maybe(seen, F.col("h")))
     alone = marked.where("not maybe").select(
         "id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")
     )
@@ -87,7 +79,7 @@ def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     marked = docs.select(F.struct(*columns).alias("_row"), look(F.col(text_col)).alias("_seen"))
     alone = marked.where("not _seen.maybe").select("_row.*")
     several = marked.where("_seen.maybe").select("_row", F.col("_seen.sha").alias("_sha"))
-    best = rows.where(_maybe(seen, "h")).groupBy("sha").agg(F.max("id").alias("keep_id"))
+    best = rows.where(bloom.maybe(seen, F.col("h"))).groupBy("sha").agg(F.max("id").alias("keep_id"))
     matches = (several["_sha"] == best["sha"]) & several[f"_row.{id_col}"].cast("long").eqNullSafe(best["keep_id"])
     kept = several.join(best, matches, "left_semi").dropDuplicates(["_sha"]).select("_row.*")
     return alone.unionByName(kept)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleargrain.llm import chat, decontaminate, exact_dedup, packing, sharding, token_files, toxicity
+from cleargrain.llm import chat, decontaminate, exact_dedup, jaccard, licenses, packing, repeats, sharding, token_files, toxicity
 from cleargrain.plans import storage
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -78,12 +78,34 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.group_copies(table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a document: its licenses, the matches and the best containment (0 without a match)."""
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    names = F.array_join(F.array_sort(F.array_distinct("matches.license")), ",")
+    best = F.aggregate("matches.containment", F.lit(0.0), lambda a, x: F.greatest(a, x))
+    return found.select("doc_id", names.alias("licenses"), F.size("matches").cast("long").alias("n_matches"), best.alias("containment"), "matches")
+
+
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), threshold=400)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_token_files, op2_best_fit_packing, op3_jump_sharding, op4_toxicity, op5_chat_format, op6_decontaminate, op8_exact_dedup)
-}
+    for f in (
+        op1_token_files, op2_best_fit_packing, op3_jump_sharding, op4_toxicity, op5_chat_format,
+        op6_decontaminate, op7_partenum_join, op8_exact_dedup, op9_license_scan, op10_suffix_repeats,
+    )
+}
