@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a Python task holds unpacked.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: Lower case for A-Z alone; every other byte maps to itself.
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
