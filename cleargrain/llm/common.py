@@ -2,39 +2,66 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a Python task holds unpacked.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 #: Lower case for A-Z alone; every other byte maps to itself.
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the workers import this package wherever they run; once a session.
+
+    A package that runs from an archive came by ``--py-files`` already.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    _shipped.add(context.applicationId)
+    archive = os.path.join(tempfile.mkdtemp(prefix="cleargrain-"), "cleargrain.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+
+
 def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id`` and ``text`` alone, whatever else the table holds; a null text is empty."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most SLICE_BYTES of text, or one row."""
     for batch in batches:
-        values = batch.column(column)
-        if not len(batch):
-            continue
-        ends = np.cumsum(np.fromiter((x or 0 for x in pc.binary_length(values).to_pylist()), np.int64, len(batch)))
-        first = 0
-        while first < len(batch):
-            base = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+        for first, last in cuts(batch.column(column)):
             yield batch.slice(first, last - first)
-            first = last
+
+
+def cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most SLICE_BYTES of text each, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        base = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+        yield first, last
+        first = last
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -15,16 +15,16 @@ empty-handed parts than ``spare``; such a set adds every combination of
 
 Sets that are equal are one class from the start. Classes that share a signature
 are candidates, each verified on its whole sets. A large group of candidates is
-never paired out: in each turn every class is verified against one pivot that it
-shares a signature with, and signatures whose classes have become one component
-are done. What is left (classes that share signatures and are not connected) is
-small and is verified in full, so no link is lost.
+never paired out: in each turn every class is verified against a few pivots that
+it shares a signature with, and signatures whose classes have become one component
+are done. What is left (classes that share signatures and that no pivot connects)
+is verified in full, so no link is lost. Sketches rule out most pairs before sets
+travel.
 
 Nulls and ties: a null or wordless text has the empty set and links with nothing;
 a text with fewer words than a shingle is one shingle as a whole; a component of
 rows with null ids alone has a null id; rows with equal ids are judged by their
-own texts. Other
-columns are not read. An empty table gives no rows.
+own texts. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,6 +46,10 @@ from cleargrain.plans import storage
 #: Share of sampled signature rows from which a signature counts as hot; it bounds their number.
 HOT_SHARE = 1 / 2048
 _SAMPLE = 32
+#: Classes of a signature that the others are verified against in a turn.
+PIVOTS = 16
+#: Long integers of the small sketch.
+WORDS = 8
 #: Stands for a null id where ids are matched.
 NO_ID = -(1 << 63)
 
@@ -183,30 +187,76 @@ def memberships(table: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """node, elements (sorted hashes as bytes) of the classes wanted, each from one document with the class's ``rep``.
+    """node, elements (sorted hashes as bytes), sketch and parities of the classes wanted.
 
-    Rows that a filter of the ids rules out never leave their task.
+    A class's set comes from the documents with its ``rep``. Texts stay in their
+    task: a filter of the ids tells which ones to read.
     """
-    ids = wanted.select(F.coalesce("rep", F.lit(NO_ID)).alias("id")).distinct()
-    held = bloom.holding(ids.select(F.xxhash64("id").alias("h")))
-    keyed = rows.withColumn("id", F.coalesce("id", F.lit(NO_ID)))
-    chosen = keyed.where(bloom.maybe(held, F.xxhash64("id"))).join(ids, "id", "left_semi")
+    held = bloom.holding(wanted.select(F.xxhash64(F.coalesce("rep", F.lit(NO_ID))).alias("h")))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _sets(batches, shingle):
-            codes, others = _codes(sets)
-            sizes, elements = [len(x) for x in sets], [x.tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes), pa.array(others), pa.array(sizes, pa.int64()), pa.array(elements, pa.binary())],
-                names=["code", "code2", "n", "elements"],
-            )
-
-    found = chosen.mapInArrow(pick, "code long, code2 long, n long, elements binary")
-    return found.join(wanted.drop("rep"), ["code", "code2", "n"]).select("node", "elements").dropDuplicates(["node"])
+        for batch in batches:
+            chosen = batch.filter(pa.array(bloom.held(held.value, batch.column("h").to_numpy())))
+            for part, sets in _sets(iter([chosen]), shingle):
+                del part
+                codes, others = _codes(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(codes), pa.array(others), pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([x.tobytes() for x in sets], pa.binary()), pa.array([sketch(x) for x in sets], pa.binary()),
+                        pa.array([parities(x).tolist() for x in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["code", "code2", "n", "elements", "sketch", "words"],
+                )
+
+    keyed = rows.withColumn("h", F.xxhash64(F.coalesce("id", F.lit(NO_ID))))
+    found = keyed.mapInArrow(pick, "code long, code2 long, n long, elements binary, sketch binary, words array<long>")
+    columns = ("node", "elements", "sketch", "words")
+    return found.join(wanted.drop("rep"), ["code", "code2", "n"]).select(*columns).dropDuplicates(["node"])
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """Parities of the elements over a power of two of cells, two cells an element or more."""
+    cells = max(64, 1 << int(2 * len(elements) - 1).bit_length())
+    counts = np.bincount((elements & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def parities(elements: np.ndarray) -> np.ndarray:
+    """A sketch of fixed size, as WORDS long integers."""
+    cells = (elements >> np.uint64(40)) & np.uint64(64 * WORDS - 1)
+    counts = np.bincount(cells.astype(np.int64), minlength=64 * WORDS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def differ_at_least(a: bytes | pa.Buffer, b: bytes | pa.Buffer) -> int:
+    """A lower bound of the elements by which two sketched sets differ: unequal parities."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _paired(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b, ...) with a column of both classes as left and right."""
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col(column).alias("left")), "a")
+    return left.join(sets.select(F.col("node").alias("b"), F.col(column).alias("right")), "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+    """The pairs (a, b, n, n2) whose whole sets link, as a and b.
+
+    Sketches, a thirtieth of the sets' size, rule out most of the others first.
+    """
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("n").to_numpy() + batch.column("n2").to_numpy()
+            most = sizes * (100 - percent) // (100 + percent)
+            bounds = [differ_at_least(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("left"), batch.column("right"), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(bounds, np.int64) <= most))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,9 +267,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("left")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
+    sketched = _paired(pairs, sets, "sketch").select("a", "b", "n", "n2", "left", "right")
+    close = _land(sketched.mapInArrow(near, "a long, b long"), "close")
+    return _paired(close, sets, "elements").select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
 
 
 def _fit(percent: int):
@@ -227,38 +277,55 @@ def _fit(percent: int):
     return F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 8) -> DataFrame | None:
-    """node and root for classes that link with others; None if no signature is shared."""
-    spark, found, root = members.sparkSession, None, None
+def _near(percent: int):
+    """Parities that do not rule a link out."""
+    unequal = sum((F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"v{i}"))) for i in range(WORDS)), F.lit(0))
+    return unequal * (100 + percent) <= (F.col("n") + F.col("n2")) * (100 - percent)
+
+
+def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6) -> DataFrame | None:
+    """node and root for classes that link with others; None if no signature is shared.
+
+    A turn verifies every class against about PIVOTS others of each of its
+    signatures, those with the smallest hashes, so signatures of few classes are
+    done in one. Turns go on while they connect much of what they could.
+    """
+    spark, found, root, before = members.sparkSession, None, None, None
     tested = spark.createDataFrame([], "a long, b long")
     for turn in range(max_turns + 1):
-        now = members.withColumn("root", F.col("node"))
+        now = members.select("sig", "node", "n").withColumn("root", F.col("node"))
         if root is not None:
-            now = members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_ = now.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"))
-        open_ = open_.where("low != high").select("sig", "many")
-        members = _land(now.join(open_, "sig").select("sig", "node", "n", "root", "many"), "members")
-        weight = members.agg(F.sum("many").alias("pairs"), F.count("*").alias("rows")).first()
-        if not weight["rows"]:
+            now = members.select("sig", "node", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        held = now.groupBy("sig", "root").agg(F.count("*").alias("c"))
+        open_ = held.groupBy("sig").agg(F.count("*").alias("roots"), F.sum("c").alias("many"), F.sum(F.col("c") * F.col("c")).alias("same"))
+        open_ = open_.where(f"roots > 1 and many > {PIVOTS if turn else 0}").select("sig", "many", "same")
+        now = now.join(open_, "sig")
+        if turn:
+            now = now.join(sets.select("node", *[F.col("words")[i].alias(f"w{i}") for i in range(WORDS)]), "node")
+        members = _land(now, "members")
+        left = members.agg(F.sum(F.col("many") - F.col("same") / F.col("many")).alias("pairs"), F.count("*").alias("rows")).first()
+        if not left["rows"]:
             break
-        last = turn == max_turns or weight["pairs"] <= 8 * weight["rows"]
-        if last:  # every pair that is left, each once
-            other = members.select("sig", F.col("node").alias("b"), F.col("root").alias("root2"), F.col("n").alias("n2"))
-            pairs = members.join(other, "sig").where((F.col("node") < F.col("b")) & (F.col("root") != F.col("root2")) & _fit(percent))
-            pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
-        else:  # each class with one pivot
-            order = F.xxhash64("node", F.lit(turn))
-            pivots = members.groupBy("sig").agg(F.min(F.struct(order.alias("o"), "node", "root", "n")).alias("p"))
-            pivots = pivots.select("sig", F.col("p.node").alias("b"), F.col("p.root").alias("root2"), F.col("p.n").alias("n2"), F.col("p.o").alias("o"))
-            pairs = members.join(pivots, "sig").where((F.col("root") != F.col("root2")) & _fit(percent))
-            pairs = pairs.groupBy("node").agg(F.min(F.struct("o", "b")).alias("p")).select("node", F.col("p.b").alias("b"))
-            pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        last = bool(turn) and (turn == max_turns or left["pairs"] <= PIVOTS * left["rows"] or left["pairs"] > 0.7 * before)
+        before = left["pairs"]
+        other = members.select(
+            "sig", F.col("node").alias("b"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("many").alias("among"),
+            *[F.col(f"w{i}").alias(f"v{i}") for i in range(WORDS) if turn],
+        )
+        if not last:
+            place = F.shiftrightunsigned(F.xxhash64("b", F.lit(turn)), 1) / F.lit(float(1 << 63))
+            other = other.where(place * F.col("among") < PIVOTS)
+        pairs = members.join(other.drop("among"), "sig").where((F.col("root") != F.col("root2")) & _fit(percent))
+        if turn:
+            pairs = pairs.where(_near(percent))
+        if last:
+            pairs = pairs.where(F.col("node") < F.col("b"))
+        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "n2").dropDuplicates(["a", "b"])
         pairs = _land(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
-        tested = tested.unionByName(pairs)
+        tested = tested.unionByName(pairs.select("a", "b"))
         new = verified(pairs, sets, percent)
         found = _land(new if found is None else found.unionByName(new), "links")
         root = components(found)
-        members = members.drop("root", "many")
         if last:
             break
     return root
