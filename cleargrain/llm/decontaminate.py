@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from cleargrain.llm.common import narrow, slices
+from cleargrain.llm.common import narrow, ship, slices
 from cleargrain.plans import storage
 
 _TO_WORDS = bytes(
@@ -195,6 +195,7 @@ def drop_contaminated(
     item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """The documents without a hit, their columns as they were; the blocks filter one after the other."""
+    ship(docs.sparkSession)
     for block in benchmark_blocks(items, window, max_bytes, item_id_col, item_text_col):
         docs = docs.where(~_is_hit(block, text_col))
     return docs

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleargrain.llm.common import running_base
+from cleargrain.llm.common import running_base, ship
 
 _NULL_KEY = 0x6E756C6C
 _FILES = "doc_id long, text string, shard int, grown_shard int, block int, place long"
@@ -68,6 +68,7 @@ def write_shards(docs: DataFrame, path: str, shards: int, *, id_col: str = "doc_
             blocks = pa.array(np.full(len(shard), block, np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, blocks, pa.array(places)], names=[*batch.schema.names, "block", "place"])
 
+    ship(docs.sparkSession)
     key = F.col(id_col)
     dealt = docs.select(
         key.cast("long").alias("doc_id"), F.col(text_col).alias("text"),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cleargrain.llm.common import narrow, slices
+from cleargrain.llm.common import cuts, narrow, ship, slices
 
 BUCKET_BITS = 17
 SIZES = (3, 4, 5, 6)
@@ -158,7 +158,7 @@ def held_out(id_column: Column) -> Column:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, *, max_positive: int = 1500, max_negative: int = 3000,
+    docs: DataFrame, labels: DataFrame, *, max_positive: int = 1000, max_negative: int = 2000,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **training,
 ) -> Model:
     """A model from a bounded sample of the labelled rows that are not held out."""
@@ -187,11 +187,13 @@ def fit(
 
 def score(model: Model, docs: DataFrame, text_col: str = "text") -> Column:
     """The score of every whole text as a column."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def toxic(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.score(texts))
+        parts = [shared.value.score(texts[first:last]) for first, last in cuts(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0))
 
     return toxic(F.coalesce(F.col(text_col), F.lit("")))
 
