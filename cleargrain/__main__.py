@@ -16,17 +16,19 @@ def main() -> None:
     arguments.add_argument("sources", help="folder with customers.csv, products.csv, ...")
     arguments.add_argument("target", help="folder for the warehouse versions and reports")
     arguments.add_argument("--run-id", default=uuid.uuid4().hex)
-    arguments.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    arguments.add_argument(
+        "--single-line", action="store_true", help="split large files; refused where quoted fields hold line breaks"
+    )
     given = arguments.parse_args()
     spark = SparkSession.builder.appName("cleargrain").getOrCreate()
     run = run_pipeline(
-        spark, load_csv_folder(spark, given.sources, given.multi_line), given.target, given.run_id
+        spark, load_csv_folder(spark, given.sources, not given.single_line), given.target, given.run_id
     )
-    headline = run.overall.first()
+    kpis = {row.kpi_name: float(row.kpi_value) for row in spark.read.option("header", True).csv(f"{run.reports}/kpi_summary").collect()}
     print(
-        f"Published {given.run_id}: loaded_orders={headline.order_count:,};"
-        f" quarantined_records={headline.quarantined_record_count:,};"
-        f" quality_score={headline.data_quality_score:.2f}; reports={run.reports}"
+        f"Published {given.run_id}: loaded_orders={kpis['order_count']:,.0f};"
+        f" quarantined_records={kpis['quarantined_record_count']:,.0f};"
+        f" quality_score={kpis['data_quality_score']:.2f}; reports={run.reports}"
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleargrain.functions.clean import is_blank
@@ -52,40 +53,55 @@ def invalid_references(
 def keep_first(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """First row of every key in the given order, with ``copies`` per key.
 
-    The minimum of whole rows, ordering columns first: remaining columns break
-    ties, so the choice never depends on partitioning. It combines before the
-    shuffle, so repeated keys, blank ones included, never gather in one task.
-    Blank text keys count as one key.
+    Keys are counted on their own, narrow and combined before the shuffle. Rows
+    of a key that comes once pass through as they are; only rows of repeated keys
+    meet, as partial minima of whole rows, ordering columns first. Remaining
+    columns break ties, so the choice never depends on partitioning, and a key
+    that holds a third of the rows never gathers in one task. Blank text keys
+    count as one key.
     """
     text_keys = {name for name, kind in frame.dtypes if kind == "string"}
-    grouping = [
-        F.coalesce(F.col(key), F.lit("")) if key in text_keys else F.col(key) for key in keys
-    ]
+    names = [f"_key{n}" for n in range(len(keys))]
+    keyed = frame.select(
+        "*",
+        *[(F.coalesce(F.col(key), F.lit("")) if key in text_keys else F.col(key)).alias(name) for key, name in zip(keys, names, strict=True)],
+    )
+    repeated = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    same = reduce(lambda a, b: a & b, [keyed[name].eqNullSafe(repeated[name]) for name in names])
+    once = keyed.join(repeated, same, "left_anti").select(*frame.columns, F.lit(1).cast("bigint").alias("copies"))
     ranked = [*order_by, *[column for column in frame.columns if column not in order_by]]
-    return (
-        frame.groupBy(*[column.alias(f"_key{n}") for n, column in enumerate(grouping)])
+    several = (
+        keyed.join(repeated, same, "left_semi")
+        .groupBy(*names)
         .agg(F.min(F.struct(*ranked)).alias("first"), F.count(F.lit(1)).alias("copies"))
         .select(*[f"first.{column}" for column in frame.columns], "copies")
     )
+    return once.unionByName(several)
+
+
+# What the frequent-items sketch can list and track.
+_MOST_LISTED, _MOST_TRACKED = 1000, 1_000_000
 
 
-# A key with at least one row in this many is hot; no more keys than this can be.
-HOT_SHARE = 32
+def hot_share(spark: SparkSession) -> int:
+    """A key with one row in this many would fill a shuffle partition by itself."""
+    return max(32, min(_MOST_LISTED, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def hot_keys(frame: DataFrame, key: str) -> DataFrame:
-    """Keys holding a large share of the rows: ``hot_key``, at most ``HOT_SHARE`` rows.
+    """Keys that would fill a partition: ``hot_key``, at most ``hot_share`` rows.
 
     A frequent-items sketch reads one column and keeps a fixed number of
     counters per task, far more than needed to catch every key this frequent.
     It only decides how rows travel; results never depend on it.
     """
-    tracked = 16 * HOT_SHARE
+    share = hot_share(frame.sparkSession)
+    tracked = min(_MOST_TRACKED, 16 * share)
     return (
         frame.where(~is_blank(F.col(key)))
-        .selectExpr(f"approx_top_k({key}, {HOT_SHARE}, {tracked}) AS top", "count(*) AS total")
+        .selectExpr(f"approx_top_k({key}, {share}, {tracked}) AS top", "count(*) AS total")
         .selectExpr("inline(top)", "total")
-        .where(F.col("count") * HOT_SHARE >= F.col("total"))
+        .where(F.col("count") * share >= F.col("total"))
         .select(F.col("item").alias("hot_key"))
     )
 
@@ -110,7 +126,7 @@ def lookup(
         "hot_key", F.lit(True).alias("_hot_hit"),
         *[F.col(f"_{target}").alias(f"_hot_{target}") for target in carry.values()],
     )
-    # Both sides hold at most HOT_SHARE rows: parent keys are unique.
+    # Both sides hold at most ``hot_share`` rows: parent keys are unique.
     hot_table = hot.join(F.broadcast(hot_known), "hot_key", "left")
     spread = F.concat(F.lit("\u0000"), F.coalesce(F.col(record_key), F.lit("")))
     return (

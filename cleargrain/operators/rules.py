@@ -148,9 +148,14 @@ def quarantined(dataset: str) -> Column:
     return has_any(flags_with(dataset, action="QUARANTINE"))
 
 
+def _of_record(dataset: str) -> list[Rule]:
+    """Rules that name the record: a missing key is listed under an id of its own."""
+    return [rule for rule in CATALOGUE[dataset] if rule.name != "missing_key"]
+
+
 def reason(dataset: str) -> Column:
     """Sorted distinct issue types of the record, joined by ``|``."""
-    types = sorted({rule.issue_type for rule in CATALOGUE[dataset]})
+    types = sorted({rule.issue_type for rule in _of_record(dataset)})
     parts = (
         f"CASE WHEN {hit_sql(flags_with(dataset, issue_type=name))} THEN '{name}' END" for name in types
     )
@@ -159,9 +164,10 @@ def reason(dataset: str) -> Column:
 
 def quality_flag(dataset: str) -> Column:
     """Sorted issue types of the record, one per finding, or ``PASS``."""
-    ranked = sorted(CATALOGUE[dataset], key=lambda rule: (rule.issue_type, rule.bit))
+    ranked = sorted(_of_record(dataset), key=lambda rule: (rule.issue_type, rule.bit))
     parts = (f"CASE WHEN {hit_sql(rule.flag)} THEN '{rule.issue_type}' END" for rule in ranked)
-    return F.expr(f"CASE WHEN {MASK} = 0 THEN 'PASS' ELSE concat_ws('|', {', '.join(parts)}) END")
+    own = sum(rule.flag for rule in ranked)
+    return F.expr(f"CASE WHEN {MASK} & {own}L = 0 THEN 'PASS' ELSE concat_ws('|', {', '.join(parts)}) END")
 
 
 def list_issues(dataset: str, validated: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def validate_orders(source: DataFrame, customers: DataFrame, products: DataFrame
     return with_mask("orders", rows, hits).select(
         "order_id", "customer_id", "product_id", "order_date",
         clean.month(F.col("order_date")).alias("order_month"),
-        units.try_cast("int").alias("quantity"),
+        units.try_cast("bigint").alias("quantity"),
         clean.cents(F.col("price")).alias("unit_price_cents"),
         clean.basis_points(F.col("discount")).alias("discount_basis_points"),
         clean.cents(amount).alias("order_amount_cents"),

@@ -12,9 +12,9 @@ import re
 from cleargrain.functions import fixed
 from cleargrain.operators import audit
 from cleargrain.operators.rules import CASCADE_RULE, CATALOGUE, KEY_RULES
-from cleargrain.plans.catalog import RAW_REFERENCES, REQUIRED
+from cleargrain.plans.catalog import DAMAGED, DIRTY, RAW_REFERENCES, REQUIRED
 from cleargrain.sources import schemas
-from cleargrain.sources.adapter import BASE_TABLES, RECIPES
+from cleargrain.sources.adapter import BASE_TABLES, DAMAGE, DIRTY_RECIPES, RECIPES
 
 CTES: dict[str, str] = {}
 ANSWERS: dict[str, str] = {}
@@ -49,7 +49,13 @@ def _is_date(column: str) -> str:
 
 
 def _time(column: str) -> str:
-    return f"TRY_CAST(replace({column}, 'T', ' ') || ':00' AS TIMESTAMP)"
+    plain = f"TRY_CAST(replace({column}, 'T', ' ') AS TIMESTAMP)"
+    local = f"TRY_CAST(replace(left({column}, 16), 'T', ' ') || ':00' AS TIMESTAMP)"
+    minutes = f"(60 * TRY_CAST({column}[18:19] AS INTEGER) + TRY_CAST({column}[21:22] AS INTEGER))"
+    return (
+        f"CASE length({column}) WHEN 16 THEN {local} WHEN 19 THEN {plain}"
+        f" WHEN 22 THEN {local} - CASE {column}[17] WHEN '-' THEN -1 ELSE 1 END * {minutes} * INTERVAL '1' MINUTE END"
+    )
 
 
 def _half_up(number: str, by: str) -> str:
@@ -77,14 +83,23 @@ def _mean(total: str, count: str) -> str:
 
 # --- Raw sources and their first rows ----------------------------------------
 
-for _dataset, _recipe in RECIPES.items():
-    _base = _recipe.base.replace("$TIMESTAMP", "TIMESTAMP").format(**{t: t for t in BASE_TABLES})
-    _columns = ", ".join(f"{sql} AS {column}" for column, sql in _recipe.columns.items())
-    CTES[f"base_{_dataset}"] = _base
-    CTES[f"raw_{_dataset}"] = (
-        f"SELECT 0 AS src_pass, k, {_columns} FROM base_{_dataset} UNION ALL"
-        f" SELECT 1 AS src_pass, k, {_columns} FROM base_{_dataset} WHERE {_recipe.arrives_twice}"
-    )
+
+
+def _raw(recipes) -> dict[str, str]:
+    """The steps that derive the raw sources."""
+    steps = {}
+    for dataset, recipe in recipes.items():
+        columns = ", ".join(f"{sql} AS {column}" for column, sql in recipe.columns.items())
+        steps[f"base_{dataset}"] = recipe.base.replace("$TIMESTAMP", "TIMESTAMP").format(**{t: t for t in BASE_TABLES})
+        steps[f"raw_{dataset}"] = (
+            f"SELECT 0 AS src_pass, k, {columns} FROM base_{dataset} UNION ALL"
+            f" SELECT 1 AS src_pass, k, {columns} FROM base_{dataset} WHERE {recipe.arrives_twice}"
+        )
+    return steps
+
+
+CTES.update(_raw(RECIPES))
+for _dataset in RECIPES:
     _key = fixed.KEYS[_dataset]
     CTES[f"uniq_{_dataset}"] = (
         f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_key} ORDER BY src_pass, k,"
@@ -254,7 +269,7 @@ CTES["dim_product"] = f"""
 """
 CTES["fact_order"] = f"""
     SELECT order_id, customer_id, product_id, order_date, left(order_date, 7) AS order_month,
-           CAST(units AS INTEGER) AS quantity, {_cents('unit_price')} AS unit_price_cents,
+           CAST(units AS BIGINT) AS quantity, {_cents('unit_price')} AS unit_price_cents,
            CAST(round(discount * 10000, 0) AS BIGINT) AS discount_basis_points,
            {_cents('order_amount')} AS order_amount_cents, status AS order_status,
            upper(trim(channel)) AS channel, quality_flag
@@ -265,7 +280,7 @@ CTES["fact_support_ticket"] = """
            nullif(resolved_at, '') AS resolved_at, upper(trim(ticket_status)) AS ticket_status,
            governed_priority AS priority, upper(trim(issue_category)) AS issue_category,
            round(date_diff('second', opened, resolved) / 3600.0::DOUBLE, 2) AS resolution_hours,
-           CAST(nullif(satisfaction_score, '') AS INTEGER) AS satisfaction_score, quality_flag
+           CASE WHEN satisfaction_score <> '' THEN coalesce(TRY_CAST(satisfaction_score AS INTEGER), 0) END AS satisfaction_score, quality_flag
     FROM routed_support_tickets WHERE NOT held
 """
 CTES["fact_finance_transaction"] = """
@@ -299,10 +314,11 @@ CTES["data_quality_exception"] = """
 
 
 def _balance(dataset: str, unit: str, suffix: str, source: str, loaded: str, held: str, loaded_table: str, held_table: str) -> str:
+    unreadable = "0" if unit == "COUNT" else f"(SELECT count(*) - {source.replace('sum(', 'count(', 1)} FROM uniq_{dataset})"
     return (
         f"SELECT '{dataset}_{suffix}' AS control_name, '{dataset}' AS dataset, '{unit}' AS unit,"
         f" CAST((SELECT {source} FROM uniq_{dataset}) AS BIGINT) AS source_value,"
-        f" CAST((SELECT {loaded} FROM {loaded_table}) + (SELECT {held} FROM {held_table}) AS BIGINT) AS target_value"
+        f" CAST((SELECT {loaded} FROM {loaded_table}) + (SELECT {held} FROM {held_table}) AS BIGINT) AS target_value, {unreadable} AS unreadable"
     )
 
 
@@ -319,8 +335,8 @@ _balances = [
              "fact_finance_transaction", "finance_transaction_quarantine"),
 ]
 CTES["etl_control"] = (
-    "SELECT *, source_value - target_value AS difference,"
-    " CASE WHEN source_value = target_value THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
+    "SELECT * EXCLUDE (unreadable), source_value - target_value AS difference,"
+    " CASE WHEN source_value = target_value AND unreadable = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
     + " UNION ALL ".join(_balances) + ")"
 )
 _LOADED = {
@@ -336,7 +352,7 @@ CTES["counts"] = " UNION ALL ".join(
     f" (SELECT count(*) FROM uniq_{dataset}) AS unique_rows,"
     f" (SELECT count(*) FROM {_LOADED[dataset]}) AS loaded_rows,"
     + (f" (SELECT count(*) FROM {_HELD[dataset]})" if dataset in _HELD else " 0")
-    + f" AS quarantined_rows, (SELECT count(*) FROM uniq_{dataset} WHERE copies > 1) AS duplicate_keys"
+    + f" AS quarantined_rows, (SELECT count(*) FROM uniq_{dataset} WHERE copies > 1 AND {fixed.KEYS[dataset]} <> '') AS duplicate_keys"
     for dataset in fixed.DATASETS
 )
 CTES["controls"] = """
@@ -871,17 +887,17 @@ ANSWERS["report_facts"] = " UNION ALL ".join(
 _WORD = re.compile(r"[a-z_]+")
 
 
-def _needed(sql: str) -> list[str]:
+def _needed(sql: str, steps: dict[str, str]) -> list[str]:
     """Names of the steps a statement builds on, in definition order."""
     wanted, pending = set(), [sql]
     while pending:
-        for name in set(_WORD.findall(pending.pop())) & CTES.keys() - wanted:
+        for name in set(_WORD.findall(pending.pop())) & steps.keys() - wanted:
             wanted.add(name)
-            pending.append(CTES[name])
+            pending.append(steps[name])
     ordered: list[str] = []
 
     def add(name: str) -> None:
-        for other in sorted(set(_WORD.findall(CTES[name])) & CTES.keys() - {name}):
+        for other in sorted(set(_WORD.findall(steps[name])) & steps.keys() - {name}):
             if other not in ordered:
                 add(other)
         if name not in ordered:
@@ -892,9 +908,34 @@ def _needed(sql: str) -> list[str]:
     return ordered
 
 
+def _statement(sql: str, steps: dict[str, str]) -> str:
+    parts = ", ".join(f"{step} AS MATERIALIZED ({steps[step]})" for step in _needed(sql, steps))
+    return f"WITH {parts} {sql}" if parts else sql
+
+
+def _damaged() -> dict[str, str]:
+    """All steps, with damage planted in the loaded tables."""
+    steps = dict(CTES)
+    for table, (changes, twice) in DAMAGE.items():
+        columns = ", ".join(f"{changes.get(c, c)} AS {c}" for c in schemas.WAREHOUSE[table].names)
+        steps[f"sound_{table}"] = CTES[table]
+        steps[table] = f"SELECT {columns} FROM (SELECT * FROM sound_{table} UNION ALL SELECT * FROM sound_{table} WHERE {twice})"
+    return steps
+
+
+_PUBLISHED = {
+    "orders": "fact_order", "tickets": "fact_support_ticket", "ledger": "fact_finance_transaction",
+    "order_quarantine": "order_quarantine", "exceptions": "data_quality_exception", "controls": "etl_control",
+    "categories": "categories", "segments": "segments",
+}
+
+
 def oracles() -> dict[str, str]:
-    statements = {}
-    for name, sql in ANSWERS.items():
-        steps = ", ".join(f"{step} AS MATERIALIZED ({CTES[step]})" for step in _needed(sql))
-        statements[name] = f"WITH {steps} {sql}" if steps else sql
-    return statements
+    found = {name: _statement(sql, CTES) for name, sql in ANSWERS.items()}
+    dirty, damaged = {**CTES, **_raw(DIRTY_RECIPES)}, _damaged()
+    found |= {f"dirty_{name}": _statement(ANSWERS[name], dirty) for name in DIRTY}
+    found |= {f"damaged_{name}": _statement(ANSWERS[name], damaged) for name in DAMAGED}
+    found |= {f"published_{name}": _statement(f"SELECT * FROM {table}", CTES) for name, table in _PUBLISHED.items()}
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in schemas.WAREHOUSE)
+    found["published_inventory"] = _statement(rows, CTES)
+    return found

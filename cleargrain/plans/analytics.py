@@ -219,7 +219,7 @@ def monthly_trends(wh: Warehouse) -> DataFrame:
         mean_hundredths(F.col("hours_hundredths"), F.col("eligible_sla")).alias("average_resolution_hours"),
         F.round("z", 2).alias("revenue_zscore"),
         F.when(F.abs("z") >= fixed.ANOMALY_Z, "Y").otherwise("N").alias("revenue_anomaly_flag"),
-    )
+    ).orderBy("reporting_month")
 
 
 def mom_growth(wh: Warehouse) -> DataFrame:
@@ -233,7 +233,7 @@ def mom_growth(wh: Warehouse) -> DataFrame:
         dollars(F.col("net_cents")).alias("net_revenue"),
         growth(F.col("order_count"), F.lag("order_count").over(calendar)).alias("order_growth_pct"),
         growth(F.col("net_cents"), F.lag("net_cents").over(calendar)).alias("revenue_growth_pct"),
-    )
+    ).orderBy("reporting_month")
 
 
 # --- Categories, segments, dashboard ------------------------------------------------
@@ -247,12 +247,8 @@ def _orders_with_ledger(wh: Warehouse, grain_safe: bool) -> DataFrame:
     first keeps the join one-to-one; ``weight`` then carries the repetition
     (always 1 when grain-safe).
     """
-    ledger = wh["fact_finance_transaction"].groupBy("order_id").agg(
-        sum_if(F.col("posting_status") == "POSTED", F.col("transaction_amount_cents")).alias("net_cents"),
-        F.count(F.lit(1)).alias("ledger_rows"),
-    )
     weight = F.lit(1) if grain_safe else F.coalesce(F.col("ledger_rows"), F.lit(1))
-    return wh.enriched_orders.join(ledger, "order_id", "left").withColumn("weight", weight)
+    return wh.orders_with_ledger.withColumn("weight", weight)
 
 
 def _weighted_measures() -> list:
@@ -273,7 +269,7 @@ def category_performance(wh: Warehouse, grain_safe: bool = False) -> DataFrame:
         "product_category", "order_count", "customers", F.col("units").alias("units_sold"),
         dollars(F.col("fulfilled_cents")).alias("fulfilled_order_value"),
         dollars(F.col("net_cents")).alias("net_revenue"),
-    )
+    ).orderBy(F.desc("net_revenue"), "product_category")
 
 
 def dashboard_dataset(wh: Warehouse, grain_safe: bool = False) -> DataFrame:
@@ -290,6 +286,7 @@ def dashboard_dataset(wh: Warehouse, grain_safe: bool = False) -> DataFrame:
             _average_value().alias("average_order_value"),
             percent(F.col("cancelled_orders"), F.col("order_count")).alias("cancellation_rate"),
         )
+        .orderBy("reporting_month", "product_category")
     )
 
 
@@ -313,6 +310,7 @@ def segment_metrics(wh: Warehouse) -> DataFrame:
             _average_value().alias("average_order_value"),
             known("customers_with_tickets"),
         )
+        .orderBy(F.desc("fulfilled_order_value"), "customer_segment")
     )
 
 
@@ -324,6 +322,7 @@ def segment_having(wh: Warehouse) -> DataFrame:
             "customer_segment", "order_count", F.col("customers").alias("ordering_customers"),
             dollars(F.col("fulfilled_cents")).alias("fulfilled_value"),
         )
+        .orderBy(F.desc("fulfilled_value"), "customer_segment")
     )
 
 
@@ -337,6 +336,7 @@ def category_rank_share(wh: Warehouse) -> DataFrame:
             F.dense_rank().over(Window.orderBy(value.desc())).cast("bigint").alias("revenue_rank"),
             percent(value, F.sum(value).over(Window.partitionBy())).alias("revenue_share_pct"),
         )
+        .orderBy("revenue_rank", "product_category")
     )
 
 
@@ -348,9 +348,16 @@ def sla_by_priority(wh: Warehouse) -> DataFrame:
             (half_up(F.col("hours_hundredths"), F.col("eligible_sla")) / F.lit(100.0)).alias("average_resolution_hours"),
             percent(F.col("within_sla"), F.col("eligible_sla")).alias("sla_rate"),
         )
+        .orderBy(_urgency(), "priority")
     )
 
 
+def _urgency() -> Column:
+    """Place of a priority, the most urgent first, unknown ones last."""
+    names = list(fixed.SLA_HOURS)
+    return F.expr("CASE priority " + " ".join(f"WHEN '{name}' THEN {n}" for n, name in enumerate(names)) + f" ELSE {len(names)} END")
+
+
 def enriched_order_summary(wh: Warehouse) -> DataFrame:
     return (
         wh.enriched_orders.groupBy("order_month", "product_category", "customer_segment")
@@ -359,6 +366,7 @@ def enriched_order_summary(wh: Warehouse) -> DataFrame:
             "order_month", "product_category", "customer_segment", "order_count", "customers",
             "units", dollars(F.col("fulfilled_cents")).alias("fulfilled_value"),
         )
+        .orderBy("order_month", "product_category", "customer_segment")
     )
 
 
@@ -378,11 +386,11 @@ def top_customers(wh: Warehouse) -> DataFrame:
     ).where(F.col("row_number") <= fixed.TOP_CUSTOMERS)
     ranked = best.withColumn("value_rank", F.rank().over(by_segment.orderBy(F.desc("value_cents"))))
     names = wh["dim_customer"].select("customer_id", "customer_name")
-    return names.join(F.broadcast(ranked), "customer_id").select(
+    return names.join(ranked, "customer_id").select(
         "customer_segment", "customer_id", "customer_name",
         dollars(F.col("value_cents")).alias("fulfilled_value"),
         F.col("value_rank").cast("bigint"), F.col("row_number").cast("bigint"),
-    )
+    ).orderBy("customer_segment", "row_number")
 
 
 def finance_variance(wh: Warehouse) -> DataFrame:
@@ -407,6 +415,7 @@ def finance_variance(wh: Warehouse) -> DataFrame:
             (F.col("first.transaction_amount_cents") - F.col("expected_cents")).alias("variance_cents"),
         )
         .where("variance_cents <> 0")
+        .orderBy(F.abs("variance_cents").desc(), "order_id")
     )
 
 
@@ -444,14 +453,15 @@ def pick_highlights(categories: DataFrame, segments: DataFrame, months: DataFram
 def exception_summary(issue_counts: DataFrame) -> DataFrame:
     return issue_counts.select(
         "dataset", "issue_type", "severity", "action", F.col("issue_count").alias("exception_count")
-    )
+    ).orderBy(F.desc("exception_count"), "dataset", "issue_type", "severity", "action")
 
 
 def exception_rank(issue_counts: DataFrame) -> DataFrame:
     """Kinds of finding ranked within their dataset; one row per kind reaches the window."""
     counted = issue_counts.groupBy("dataset", "issue_type").agg(F.sum("issue_count").alias("exception_count"))
     by_count = Window.partitionBy("dataset").orderBy(F.desc("exception_count"))
-    return counted.withColumn("issue_rank", F.dense_rank().over(by_count).cast("bigint"))
+    ranked = counted.withColumn("issue_rank", F.dense_rank().over(by_count).cast("bigint"))
+    return ranked.orderBy("dataset", "issue_rank", "issue_type")
 
 
 def range_audit(wh: Warehouse) -> DataFrame:

@@ -12,8 +12,9 @@ from cleargrain.functions import fixed
 from cleargrain.operators import audit, profile, records, rules
 from cleargrain.plans import analytics, reports, storage
 from cleargrain.plans.staging import Staging
-from cleargrain.plans.warehouse import StagedWarehouse, Warehouse
-from cleargrain.sources.adapter import BASE_TABLES, derive_source
+from cleargrain.plans.warehouse import StagedWarehouse, Warehouse, open_latest, publish
+from cleargrain.sources import schemas
+from cleargrain.sources.adapter import BASE_TABLES, DIRTY_RECIPES, RECIPES, Recipe, damaged, derive_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,73 +36,96 @@ RAW_REFERENCES = (
 )
 
 
-class LandedSources(Mapping[str, DataFrame]):
-    """Derived sources, each written once on first use and read back after.
+class Workspace:
+    """Sources, staging, warehouse views and the small frames that several queries share."""
 
-    The recipes rebuild raw text from the given tables; landing them gives the
-    jobs plain files to scan, with their own column pruning and pushdown.
-    """
+    def __init__(self, spark: SparkSession, sf_dir: str, recipes: Mapping[str, Recipe]):
+        self._spark, folder = spark, storage.fresh_folder(spark, "workspace")
+        builders = {name: partial(derive_source, spark, sf_dir, name, recipes) for name in fixed.DATASETS}
+        self.sources = storage.Landed(f"{folder}/sources", builders)
+        self.staging = Staging(spark, self.sources, f"{folder}/staging")
+        self.warehouse = StagedWarehouse(self.staging)
+        self._frames = storage.Shelf(f"{folder}/frames")
+        self._published = f"{folder}/published"
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf_dir = spark, sf_dir
-        self._shelf = storage.Shelf(storage.fresh_folder(spark, "landing"))
+    @cached_property
+    def damaged(self) -> Warehouse:
+        """The warehouse with planted damage, for the audits to find."""
+        return Warehouse({name: damaged(name, table) for name, table in self.warehouse.tables.items()})
 
-    def __getitem__(self, dataset: str) -> DataFrame:
-        return self._shelf.get(dataset, lambda: derive_source(self._spark, self._sf_dir, dataset))
+    @cached_property
+    def published(self) -> Warehouse:
+        """The warehouse as written, audited, announced and opened again."""
+        publish(self.staging, self._published, "latest")
+        return open_latest(self._spark, self._published)
 
-    def land(self) -> LandedSources:
-        storage.at_once(*[partial(self.__getitem__, dataset) for dataset in self])
-        return self
+    def values(self, dataset: str, source: DataFrame) -> DataFrame:
+        return self._frames.get(f"values_{dataset}", lambda: profile.value_counts(dataset, source))
 
-    def __iter__(self):
-        return iter(fixed.DATASETS)
+    @property
+    def profiled(self) -> DataFrame:
+        return self._frames.get("profile_tables", lambda: profile.profile_tables(self.sources.land()))
 
-    def __len__(self) -> int:
-        return len(fixed.DATASETS)
+    @property
+    def totals(self) -> DataFrame:
+        return self._frames.get("profile_totals", lambda: profile.profile_totals(self.sources, self.profiled))
 
+    @property
+    def counts(self) -> DataFrame:
+        return self._frames.get("counts", self.staging.counts)
 
-class Workspace:
-    """Staging, warehouse views and the lazy frames that several queries share."""
+    @property
+    def issue_counts(self) -> DataFrame:
+        return self._frames.get("issue_counts", self.staging.issue_counts)
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.sources = LandedSources(spark, sf_dir)
-        self.staging = Staging(spark, self.sources)
-        self.warehouse = StagedWarehouse(self.staging)
+    @property
+    def controls(self) -> DataFrame:
+        return self._frames.get("controls", self.staging.controls)
 
-    @cached_property
+    @property
+    def balances(self) -> DataFrame:
+        return self._frames.get("balances", lambda: self.warehouse["etl_control"])
+
+    @property
     def score(self) -> DataFrame:
-        inputs = analytics.quality_inputs(self.staging.counts(), self.staging.issue_counts())
-        return analytics.quality_score(inputs)
+        return analytics.quality_score(analytics.quality_inputs(self.counts, self.issue_counts))
 
-    @cached_property
+    @property
     def overall(self) -> DataFrame:
-        return analytics.kpi_overall(self.warehouse, self.score)
+        return self._frames.get("overall", lambda: analytics.kpi_overall(self.warehouse, self.score))
 
-    @cached_property
+    @property
     def months(self) -> DataFrame:
-        return analytics.monthly_trends(self.warehouse)
+        return self._frames.get("months", lambda: analytics.monthly_trends(self.warehouse))
 
-    @cached_property
+    @property
     def categories(self) -> DataFrame:
-        return analytics.category_performance(self.warehouse)
+        return self._frames.get("categories", lambda: analytics.category_performance(self.warehouse))
 
-    @cached_property
+    @property
     def segments(self) -> DataFrame:
-        return analytics.segment_metrics(self.warehouse)
+        return self._frames.get("segments", lambda: analytics.segment_metrics(self.warehouse))
 
 
 _workspaces: dict[tuple, Workspace] = {}
 
 
-def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
-    """One workspace per session and state of the input tables."""
-    state = (spark.sparkContext.applicationId, sf_dir, storage.fingerprint(spark, sf_dir, BASE_TABLES))
+def workspace(spark: SparkSession, sf_dir: str, recipes: Mapping[str, Recipe] = RECIPES) -> Workspace:
+    """One workspace per session, kind of sources and state of the input tables."""
+    state = (
+        spark.sparkContext.applicationId, sf_dir, recipes is DIRTY_RECIPES, storage.fingerprint(spark, sf_dir, BASE_TABLES)
+    )
     if state not in _workspaces:
-        _workspaces[state] = Workspace(spark, sf_dir)
+        _workspaces[state] = Workspace(spark, sf_dir, recipes)
     return _workspaces[state]
 
 
-def _query(build: Callable[[Workspace], DataFrame], name: str) -> None:
+Build = Callable[[Workspace], DataFrame]
+_builds: dict[str, Build] = {}
+
+
+def _query(build: Build, name: str) -> None:
+    _builds[name] = build
     QUERIES[name] = lambda spark, sf_dir: build(workspace(spark, sf_dir))
 
 
@@ -115,10 +139,10 @@ def _each_source(ws: Workspace, build: Callable[[str, DataFrame], DataFrame]) ->
 
 # --- Profiles ---------------------------------------------------------------
 
-_query(lambda ws: profile.profile_tables(ws.sources.land()), "profile_tables")
-_query(lambda ws: profile.profile_columns(ws.sources.land()), "profile_columns")
-_query(lambda ws: profile.top_values(ws.sources.land()), "profile_top_values")
-_query(lambda ws: profile.profile_totals(ws.sources.land()), "profile_totals")
+_query(lambda ws: ws.profiled, "profile_tables")
+_query(lambda ws: profile.profile_columns(ws.sources.land(), ws.values), "profile_columns")
+_query(lambda ws: profile.top_values(ws.sources.land(), ws.values), "profile_top_values")
+_query(lambda ws: ws.totals, "profile_totals")
 
 # --- Data-quality primitives --------------------------------------------------
 
@@ -178,16 +202,18 @@ def _quarantine_ids(ws: Workspace) -> DataFrame:
 
 
 def _issue_map(ws: Workspace) -> DataFrame:
-    return reduce(
-        DataFrame.unionAll,
-        [
-            ws.staging.validated(name).where(F.col(rules.MASK) != 0).select(
-                F.lit(name).alias("dataset"), F.col(fixed.KEYS[name]).alias("record_id"),
-                rules.quality_flag(name).alias("issue_types"),
-            )
-            for name in fixed.DATASETS
-        ],
-    )
+    """Issue types by record; a record without a key is listed as such beside its own."""
+    parts = []
+    for name in fixed.DATASETS:
+        rows, dataset = ws.staging.validated(name), F.lit(name).alias("dataset")
+        flag, lost = rules.quality_flag(name), rules.has_any(rules.flags_with(name, name="missing_key"))
+        parts.append(
+            rows.select(dataset, F.col(fixed.KEYS[name]).alias("record_id"), flag.alias("issue_types")).where("issue_types <> 'PASS'")
+        )
+        parts.append(
+            rows.where(lost).select(dataset, F.lit(rules.MISSING_KEY_ID).alias("record_id"), F.lit("MISSING_PRIMARY_KEY").alias("issue_types"))
+        )
+    return reduce(DataFrame.unionAll, parts)
 
 
 _query(_duplicates, "dq_duplicates")
@@ -199,7 +225,7 @@ _query(lambda ws: ws.staging.exceptions(), "dq_exceptions")
 _query(lambda ws: ws.staging.controls(), "dq_controls")
 _query(_quarantine_ids, "dq_quarantine_ids")
 _query(_issue_map, "dq_issue_map")
-_query(lambda ws: reports.issue_type_counts(ws.staging.issue_counts()), "dq_issue_counts")
+_query(lambda ws: reports.issue_type_counts(ws.issue_counts), "dq_issue_counts")
 
 # --- Warehouse, routing, audit ---------------------------------------------------
 
@@ -253,10 +279,10 @@ _query(lambda ws: ws.score, "quality_score")
 _on_warehouse("monthly_orders", analytics.monthly_orders)
 _on_warehouse("monthly_finance", analytics.monthly_finance)
 _on_warehouse("monthly_support", analytics.monthly_support)
-_query(lambda ws: ws.months, "monthly_trends")
-_query(lambda ws: ws.categories, "category_performance")
+_on_warehouse("monthly_trends", analytics.monthly_trends)
+_on_warehouse("category_performance", analytics.category_performance)
 _on_warehouse("category_performance_grain_safe", lambda wh: analytics.category_performance(wh, grain_safe=True))
-_query(lambda ws: ws.segments, "segment_metrics")
+_on_warehouse("segment_metrics", analytics.segment_metrics)
 _on_warehouse("dashboard_dataset", analytics.dashboard_dataset)
 _on_warehouse("dashboard_dataset_grain_safe", lambda wh: analytics.dashboard_dataset(wh, grain_safe=True))
 _query(lambda ws: analytics.pick_highlights(ws.categories, ws.segments, ws.months), "highlights")
@@ -268,26 +294,66 @@ _on_warehouse("enriched_orders", analytics.enriched_order_summary)
 _on_warehouse("finance_variance", analytics.finance_variance)
 _on_warehouse("mom_growth", analytics.mom_growth)
 _on_warehouse("top_customers", analytics.top_customers)
-_query(lambda ws: analytics.exception_summary(ws.staging.issue_counts()), "exception_summary")
-_query(lambda ws: analytics.exception_rank(ws.staging.issue_counts()), "exception_rank")
+_query(lambda ws: analytics.exception_summary(ws.issue_counts), "exception_summary")
+_query(lambda ws: analytics.exception_rank(ws.issue_counts), "exception_rank")
 
 # --- Reports --------------------------------------------------------------------
 
 _query(lambda ws: reports.kpi_summary(ws.overall), "kpi_summary")
-_query(lambda ws: reports.top_issues(ws.staging.issue_counts()), "top_issues")
-_query(lambda ws: reports.control_outcomes(ws.staging.controls()), "control_outcomes")
-_query(lambda ws: reports.publish_status(ws.staging.issue_counts(), ws.warehouse["etl_control"]), "publish_status")
+_query(lambda ws: reports.top_issues(ws.issue_counts), "top_issues")
+_query(lambda ws: reports.control_outcomes(ws.controls), "control_outcomes")
+_query(lambda ws: reports.publish_status(ws.issue_counts, ws.balances), "publish_status")
 _query(
-    lambda ws: reports.findings(ws.overall, ws.staging.issue_counts(), ws.months),
+    lambda ws: reports.findings(ws.overall, ws.issue_counts, ws.months),
     "findings",
 )
 
 
 def _report_facts(ws: Workspace) -> DataFrame:
     return reports.report_facts(
-        ws.overall, profile.profile_totals(ws.sources), ws.staging.issue_counts(),
-        ws.staging.controls(), ws.warehouse["etl_control"], ws.categories, ws.segments, ws.months,
+        ws.overall, ws.totals, ws.issue_counts, ws.controls, ws.balances, ws.categories, ws.segments, ws.months,
     )
 
 
 _query(_report_facts, "report_facts")
+
+# --- Sources in which every rule hits, and damaged tables ---------------------------
+
+DIRTY = (
+    "dq_duplicates", "dq_missing_required", "dq_invalid_fk", "dq_issues", "dq_exceptions", "dq_controls",
+    "dq_quarantine_ids", "dq_issue_map", "wh_dim_customer", "wh_dim_product", "wh_fact_order", "wh_fact_support_ticket",
+    "wh_fact_finance", "quarantine_orders", "quarantine_tickets", "quarantine_finance", "recon_controls", "etl_counts",
+    "constraint_audit", "category_performance", "category_performance_grain_safe", "dashboard_dataset",
+    "finance_variance", "sla_by_priority", "profile_columns", "publish_status",
+)
+for _name in DIRTY:
+    QUERIES[f"dirty_{_name}"] = lambda spark, sf_dir, build=_builds[_name]: build(workspace(spark, sf_dir, DIRTY_RECIPES))
+
+DAMAGED: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "constraint_audit": lambda wh: audit.constraint_audit(wh.tables),
+    "key_audit": lambda wh: audit.key_audit(wh.tables),
+    "reference_audit": lambda wh: audit.reference_audit(wh.tables),
+    "range_audit": analytics.range_audit,
+}
+for _name, _audit in DAMAGED.items():
+    _query(lambda ws, check=_audit: check(ws.damaged), f"damaged_{_name}")
+
+# --- The published warehouse ----------------------------------------------------------
+
+
+def _inventory(wh: Warehouse) -> DataFrame:
+    """Rows of every published table."""
+    return reduce(
+        DataFrame.unionAll,
+        [wh[name].agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name in schemas.WAREHOUSE],
+    )
+
+
+_query(lambda ws: _inventory(ws.published), "published_inventory")
+for _name, _table in {
+    "orders": "fact_order", "tickets": "fact_support_ticket", "ledger": "fact_finance_transaction",
+    "order_quarantine": "order_quarantine", "exceptions": "data_quality_exception", "controls": "etl_control",
+}.items():
+    _query(lambda ws, table=_table: ws.published[table], f"published_{_name}")
+_query(lambda ws: analytics.category_performance(ws.published), "published_categories")
+_query(lambda ws: analytics.segment_metrics(ws.published), "published_segments")

@@ -56,6 +56,10 @@ class Staging:
 
         return self._shelf.get(dataset, build)
 
+    def keep(self, name: str, frame: DataFrame) -> DataFrame:
+        """A derived table, written once beside the validated ones."""
+        return self._shelf.get(name, lambda: frame)
+
     def loaded(self, dataset: str) -> DataFrame:
         return self.validated(dataset).where(~rules.quarantined(dataset))
 
@@ -124,9 +128,11 @@ class Staging:
         )
 
     def controls(self) -> DataFrame:
-        """Validation controls: one per kind of finding, then the five gates.
+        """Validation controls: one per kind of finding, then the five gates, by dataset and name.
 
-        Gates are judged by the findings; with no critical finding all pass.
+        Four gates are judged by the findings. ``SOURCE_FILES_READABLE`` holds by
+        the time there is anything to judge: a source that cannot be opened, or
+        lacks a column, raises before.
         """
         kinds = self.issue_counts().select(
             "dataset", F.col("issue_type").alias("control"), "severity", "action", "issue_count",
@@ -151,7 +157,7 @@ class Staging:
             }
             for n, (name, _) in enumerate(gates)
         ]
-        return kinds.unionByName(unfold(counted, entries))
+        return kinds.unionByName(unfold(counted, entries)).orderBy("dataset", "control", "severity", "action")
 
     def require_no_critical(self) -> None:
         """Raise with the first messages when a critical rule hit any record."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from threading import Lock
 
 from pyspark import inheritable_thread_target
@@ -39,6 +40,15 @@ def write_then_read(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``fresh_folder`` named, with all that was written there."""
+    if not folder.startswith(f"{shared_folder(spark)}/cleargrain/"):
+        raise ValueError(f"{folder} is not a folder of this library")
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Shelf:
     """Tables written once each and read back, safe to ask from several threads."""
 
@@ -57,6 +67,30 @@ class Shelf:
             return self._tables[name]
 
 
+class Landed(Mapping[str, DataFrame]):
+    """Tables built from elsewhere, each written once on first use and read back after.
+
+    Raw text is parsed, or derived, a single time; every later read is a plain
+    columnar scan with its own column pruning and pushdown.
+    """
+
+    def __init__(self, folder: str, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._shelf, self._builders = Shelf(folder), dict(builders)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._shelf.get(name, self._builders[name])
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def land(self) -> Landed:
+        at_once(*[partial(self.__getitem__, name) for name in self])
+        return self
+
+
 def at_once(*tasks: Callable[[], object]) -> None:
     """Submit independent jobs together, so one fills the cores another leaves idle."""
     inherit = inheritable_thread_target(SparkSession.active())

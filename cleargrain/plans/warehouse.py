@@ -8,11 +8,15 @@ from functools import cached_property, partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cleargrain.functions import fixed
+from cleargrain.functions.measure import sum_if
 from cleargrain.operators import audit, rules
+from cleargrain.operators.records import hot_keys, keep_first, lookup
 from cleargrain.operators.reconcile import DataQualityError, reconcile, require_balanced
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.storage import at_once
 from cleargrain.sources import schemas
+from cleargrain.sources.raw import ROW_ORDER
 
 # Published tables and their month columns.
 MONTHS = {
@@ -23,7 +27,10 @@ MONTHS = {
 
 
 class Warehouse:
-    """Named tables plus the two enriched grains that analytics read."""
+    """Named tables plus the enriched grains that analytics read.
+
+    Hot parents of a fact table are broadcast, so their facts need not meet.
+    """
 
     def __init__(self, tables: Mapping[str, DataFrame]):
         self._given = tables
@@ -38,14 +45,34 @@ class Warehouse:
     @cached_property
     def enriched_orders(self) -> DataFrame:
         """Orders with their customer's segment and region and product's category."""
-        customers = self["dim_customer"].select("customer_id", "customer_segment", "region")
-        products = self["dim_product"].select("product_id", "product_category")
-        return self["fact_order"].join(customers, "customer_id").join(products, "product_id")
+        facts = self["fact_order"]
+        rows = lookup(
+            facts, "customer_id", "order_id", self["dim_customer"], "customer_id",
+            {"customer_segment": "customer_segment", "region": "region"}, "has_customer", hot_keys(facts, "customer_id"),
+        )
+        rows = lookup(
+            rows, "product_id", "order_id", self["dim_product"], "product_id",
+            {"product_category": "product_category"}, "has_product", hot_keys(facts, "product_id"),
+        )
+        return rows.where("has_customer AND has_product").drop("has_customer", "has_product")
 
     @cached_property
     def enriched_tickets(self) -> DataFrame:
-        customers = self["dim_customer"].select("customer_id", "customer_segment")
-        return self["fact_support_ticket"].join(customers, "customer_id")
+        facts = self["fact_support_ticket"]
+        rows = lookup(
+            facts, "customer_id", "ticket_id", self["dim_customer"], "customer_id",
+            {"customer_segment": "customer_segment"}, "has_customer", hot_keys(facts, "customer_id"),
+        )
+        return rows.where("has_customer").drop("has_customer")
+
+    @cached_property
+    def orders_with_ledger(self) -> DataFrame:
+        """Enriched orders with their posted cents and number of ledger rows, each order once."""
+        ledger = self["fact_finance_transaction"].groupBy("order_id").agg(
+            sum_if(F.col("posting_status") == "POSTED", F.col("transaction_amount_cents")).alias("net_cents"),
+            F.count(F.lit(1)).alias("ledger_rows"),
+        )
+        return self.enriched_orders.join(ledger, "order_id", "left")
 
 
 class StagedWarehouse(Warehouse):
@@ -106,20 +133,37 @@ class StagedWarehouse(Warehouse):
             "customer_segment",
         )
 
+    @cached_property
+    def orders_with_ledger(self) -> DataFrame:
+        """Joined once and kept: four reports read it."""
+        build = super().orders_with_ledger
+        columns = ("order_month", "product_category", "customer_id", "quantity", "order_amount_cents", "order_status")
+        return self._staging.keep("orders_with_ledger", build.select(*columns, "net_cents", "ledger_rows"))
+
+
+def _first_rows(staging: Staging, dataset: str) -> DataFrame:
+    """Unique rows as the raw source holds them, found without the staged table."""
+    source = staging.sources[dataset].select(*fixed.RAW_COLUMNS[dataset], ROW_ORDER)
+    return keep_first(source, [fixed.KEYS[dataset]], [ROW_ORDER])
+
 
 def reconciliation(staging: Staging, warehouse: Warehouse) -> DataFrame:
-    """Controls that each unique source row and cent is either loaded or quarantined."""
-    # Dataset, its two tables and its amount columns.
+    """Controls that each unique source row and cent is either loaded or quarantined.
+
+    The source side is counted on the raw source, so a row lost on the way to
+    staging fails its control.
+    """
+    # Dataset, its two tables and its raw and typed amount columns.
     sides = (
-        ("orders", "fact_order", "order_quarantine", "source_amount", "order_amount_cents"),
+        ("orders", "fact_order", "order_quarantine", "order_amount", "order_amount_cents"),
         ("support_tickets", "fact_support_ticket", "support_ticket_quarantine", None, None),
         ("finance_transactions", "fact_finance_transaction", "finance_transaction_quarantine",
-         "source_amount", "transaction_amount_cents"),
+         "transaction_amount", "transaction_amount_cents"),
     )
     return reduce(
         DataFrame.unionAll,
         [
-            reconcile(dataset, staging.validated(dataset), warehouse[fact], warehouse[held], source, target)
+            reconcile(dataset, _first_rows(staging, dataset), warehouse[fact], warehouse[held], source, target)
             for dataset, fact, held, source, target in sides
         ],
     )

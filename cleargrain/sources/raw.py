@@ -20,17 +20,16 @@ def as_source(dataset: str, frame: DataFrame, order_by: Sequence[str]) -> DataFr
     """Give a table the shape of a raw source.
 
     Every column becomes text; ``order_by`` ranks rows that share a key (the
-    lowest is kept). Ties fall to the remaining columns, so the choice does
-    not depend on how the rows were partitioned.
+    lowest is kept). Ties fall to the remaining columns when the first row is
+    chosen, so the choice does not depend on how the rows were partitioned.
     """
     data = [column for column in frame.columns if column not in order_by or column in fixed.RAW_COLUMNS[dataset]]
     missing = [column for column in fixed.RAW_COLUMNS[dataset] if column not in data]
     if missing:
         raise SourceError(f"{dataset} lacks the columns {missing}")
-    ranked = [*order_by, *[column for column in data if column not in order_by]]
     return frame.select(
         *[F.col(column).cast("string").alias(column) for column in data],
-        F.struct(*ranked).alias(ROW_ORDER),
+        F.struct(*order_by).alias(ROW_ORDER),
     )
 
 
@@ -38,12 +37,18 @@ def data_columns(source: DataFrame) -> list[str]:
     return [column for column in source.columns if column != ROW_ORDER]
 
 
-def read_csv(spark: SparkSession, dataset: str, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, dataset: str, path: str, multi_line: bool = True) -> DataFrame:
     """UTF-8 CSV with a header; file order is the row order.
 
-    Files stay splittable unless quoted fields hold line breaks
-    (``multi_line``). Files whose headers disagree are refused.
+    Quoted fields may hold line breaks, blank lines are skipped, and missing
+    fields of a short line are NULL. ``multi_line=False`` keeps large files
+    splittable; it is refused where a line's quotes do not balance, because its
+    record would be torn. Files whose headers disagree are refused.
     """
+    if not multi_line:
+        quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+        if not spark.read.text(path).where(quotes % 2 == 1).isEmpty():
+            raise SourceError(f"{dataset} has quoted line breaks; read it with multi_line=True")
     frame = (
         spark.read.option("header", True)
         .option("escape", '"')
@@ -65,7 +70,7 @@ def read_csv(spark: SparkSession, dataset: str, path: str, multi_line: bool = Fa
     )
 
 
-def load_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, DataFrame]:
+def load_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
     return {
         dataset: read_csv(spark, dataset, f"{folder}/{dataset}.csv", multi_line)
         for dataset in fixed.DATASETS

@@ -14,7 +14,7 @@ _COLUMNS = {
         " unit_cost_cents bigint, active_flag string, quality_flag string",
     "fact_order":
         "order_id string, customer_id string, product_id string, order_date string,"
-        " order_month string, quantity int, unit_price_cents bigint, discount_basis_points bigint,"
+        " order_month string, quantity bigint, unit_price_cents bigint, discount_basis_points bigint,"
         " order_amount_cents bigint, order_status string, channel string, quality_flag string",
     "fact_support_ticket":
         "ticket_id string, customer_id string, opened_at string, opened_month string,"

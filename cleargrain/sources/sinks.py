@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_csv_report(frame: DataFrame, path: str, order_by: tuple[str, ...] = ()) -> None:
-    """One headed CSV file of a small report; an empty report is refused."""
-    if frame.isEmpty():
-        raise ValueError(f"Cannot publish an empty reporting dataset: {path}")
-    ordered = frame.coalesce(1).sortWithinPartitions(*order_by) if order_by else frame.coalesce(1)
+    """One headed CSV file of a small report; an empty report is refused.
+
+    The rows are counted as they are written, so the report runs once.
+    """
+    written = Observation()
+    counted = frame.coalesce(1).observe(written, F.count(F.lit(1)).alias("rows"))
+    ordered = counted.sortWithinPartitions(*order_by) if order_by else counted
     ordered.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    if not written.get["rows"]:
+        raise ValueError(f"Cannot publish an empty reporting dataset: {path}")
 
 
 def write_json(frame: DataFrame, path: str) -> None:

@@ -24,14 +24,14 @@ CASES = [
     ("finance", "Credit", "REFUND"), ("finance", "sale ", "SALE"),
     ("date", "2025-01-05", datetime.date(2025, 1, 5)), ("date", "2024-02-29", datetime.date(2024, 2, 29)),
     ("date", "2025-02-29", None), ("date", "2025-13-40", None), ("date", "2025-1-5", None),
-    ("date", "2025", None), ("date", "20250105", None), ("date", "2025-01-05T10:00", None),
+    ("date", "2025", None), ("date", "20250105", datetime.date(2025, 1, 5)), ("date", "2025-W02-3", datetime.date(2025, 1, 8)), ("date", "2025W02", datetime.date(2025, 1, 6)), ("date", "2025-W53", None), ("date", "20251305", None), ("date", "2025-01-05T10:00", None),
     ("date", "0000-01-01", None), ("date", "not-a-date", None), ("date", "", None), ("date", None, None),
     ("time", "2025-01-01T10:00", datetime.datetime(2025, 1, 1, 10)),
     ("time", "2025-01-01 10:00:30", datetime.datetime(2025, 1, 1, 10, 0, 30)),
     ("time", "2025-01-01T10", datetime.datetime(2025, 1, 1, 10)),
     ("time", "2025-01-01T10:00:00,5", datetime.datetime(2025, 1, 1, 10, 0, 0, 500000)),
     ("time", "2025-01-01", datetime.datetime(2025, 1, 1)),
-    ("time", "2025-01-01T25:00", None), ("time", "2025-01-01T10:00+01:00", None),
+    ("time", "2025-01-01T25:00", None), ("time", "2025-01-01T10:00+01:00", datetime.datetime(2025, 1, 1, 9)), ("time", "2025-01-01T23:30:15.25-0200", datetime.datetime(2025, 1, 2, 1, 30, 15, 250000)), ("time", "20250101T1000Z", datetime.datetime(2025, 1, 1, 10)), ("time", "2025-01-01T10:00+24:00", None),
     ("time", "not-a-date", None), ("time", "", None),
     ("strip", "  a b\n", "a b"), ("title", "INVALID_CUSTOMER_REFERENCE", "Invalid Customer Reference"),
 ]

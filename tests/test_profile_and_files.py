@@ -105,3 +105,38 @@ def test_reports_are_one_headed_file_and_never_empty(spark, folder):
         sinks.write_csv_report(frame.limit(0), f"{folder}/none")
     sinks.write_json(frame, f"{folder}/json")
     assert spark.read.json(f"{folder}/json").count() == 2
+
+
+def test_profile_of_very_wide_numbers(spark, make_sources):
+    """Eighteen-digit ids over a thousand rows, and a cell of 21 digits, as ``Decimal`` has them."""
+    ids = [str(10**17 + n * 7) for n in range(1000)]
+    wide = ["123456789012345678901", "0.5", "-2"]
+    sources = make_sources(orders=[
+        {"order_id": value, "quantity": wide[n % 3], "discount_rate": "1e400" if n == 5 else "1"} for n, value in enumerate(ids)])
+    found = {r.column_name: r for r in profile.profile_columns({"orders": sources["orders"]}).collect()}
+    total = sum(map(Decimal, ids))
+    assert found["order_id"].numeric_sum == float(total)
+    assert found["order_id"].numeric_mean == float(round(total / 1000, 4))
+    numbers = [Decimal(wide[n % 3]) for n in range(1000)]
+    quantity = found["quantity"]
+    assert (quantity.numeric_count, quantity.numeric_min, quantity.numeric_max) == (1000, -2.0, float(max(numbers)))
+    assert quantity.numeric_sum == float(sum(numbers)) and quantity.numeric_mean == float(sum(numbers) / 1000)
+    assert found["discount_rate"].numeric_count == 1000
+
+
+def test_wide_amounts_are_judged_as_numbers(spark, make_sources):
+    staging = Staging(spark, make_sources(orders=[{"order_amount": "123456789012345678901", "quantity": "3000000000"}]))
+    assert [r.issue_type for r in staging.issues().where("dataset = 'orders'").collect()] == ["UNUSUAL_NUMERIC_VALUE"]
+    assert staging.validated("orders").first().quantity == 3_000_000_000
+
+
+def test_line_breaks_in_quoted_fields(spark, folder):
+    path = f"{folder}/customers.csv"
+    with open(path, "w") as out:
+        out.write(",".join(fixed.RAW_COLUMNS["customers"]) + "\n")
+        out.write('K-1,"Line\nbreak ""and"" more",SMB,EAST,2024-01-01,ACTIVE\n\nK-2,short,SMB\n')
+    rows = raw.read_csv(spark, "customers", path).orderBy("customer_id").collect()
+    assert [(r.customer_id, r.customer_name, r.region) for r in rows] == [
+        ("K-1", 'Line\nbreak "and" more', "EAST"), ("K-2", "short", None)]
+    with pytest.raises(raw.SourceError, match="quoted line breaks"):
+        raw.read_csv(spark, "customers", path, multi_line=False)

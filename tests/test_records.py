@@ -18,8 +18,8 @@ def test_missing_required_names_the_fields(spark, rows):
 
 
 def test_invalid_references_ignore_blank(spark, rows):
-    child = spark.createDataFrame([("1", "C1"), ("2", "BAD"), ("3", ""), ("4", None)], "id string, ref string")
-    parent = spark.createDataFrame([("C1",), ("C1",)], "id string")
+    child = spark.createDataFrame([("1", "K-201"), ("2", "BAD"), ("3", ""), ("4", None)], "id string, ref string")
+    parent = spark.createDataFrame([("K-201",), ("K-201",)], "id string")
     assert rows(records.invalid_references(child, "ref", parent, "id", "id")) == [("2", "BAD")]
 
 

@@ -23,7 +23,7 @@ CASES = [
     ("products", "no_active_flag", {"active_flag": ""}, {}),
     ("products", "unknown_category", {"product_category": "Toys"}, {"product_category": "cloud"}),
     ("products", "alias_category", {"product_category": "Cybersecurity"}, {}),
-    ("products", "bad_price", {"unit_cost": "100.01"}, {"unit_cost": "100.00"}),
+    ("products", "bad_price", {"unit_cost": "64.51"}, {"unit_cost": "64.50"}),
     ("products", "bad_price", {"unit_price": "0"}, {"unit_cost": "0"}),
     ("products", "bad_price", {"unit_price": "NaN"}, {}),
     ("products", "unusual_price", {"unit_price": "20000.01"}, {"unit_price": "20000.00"}),
@@ -46,10 +46,10 @@ CASES = [
     ("support_tickets", "unknown_customer", {"customer_id": ""}, {}),
     ("support_tickets", "bad_timestamps", {"opened_at": "not-a-date"}, {"resolved_at": ""}),
     ("support_tickets", "bad_timestamps", {"resolved_at": "tomorrow"}, {}),
-    ("support_tickets", "resolved_early", {"resolved_at": "2025-01-01T09:59"}, {"resolved_at": "2025-01-01T10:00"}),
+    ("support_tickets", "resolved_early", {"resolved_at": "2024-06-10T09:14"}, {"resolved_at": "2024-06-10T09:15"}),
     ("support_tickets", "no_issue_category", {"issue_category": ""}, {}),
-    ("support_tickets", "unknown_priority", {"priority": "P9"}, {"priority": "Med"}),
-    ("support_tickets", "alias_priority", {"priority": "urgent"}, {"priority": "P9"}),
+    ("support_tickets", "unknown_priority", {"priority": "G-39"}, {"priority": "Med"}),
+    ("support_tickets", "alias_priority", {"priority": "urgent"}, {"priority": "G-39"}),
     ("finance_transactions", "unknown_order", {"order_id": "NONE"}, {}),
     ("finance_transactions", "bad_posted_date", {"posted_date": "31/31/2025"}, {}),
     ("finance_transactions", "bad_amount", {"transaction_amount": "x"}, {"transaction_amount": "1e2"}),
@@ -57,9 +57,9 @@ CASES = [
     ("finance_transactions", "alias_type", {"transaction_type": "Credit"}, {"transaction_type": "TRANSFER"}),
     ("finance_transactions", "bad_currency_or_posting", {"currency": "usd"}, {"posting_status": "PENDING"}),
     ("finance_transactions", "bad_currency_or_posting", {"posting_status": "OPEN"}, {}),
-    ("finance_transactions", "ledger_mismatch", {"transaction_amount": "180.01"}, {"transaction_amount": "179.995"}),
-    ("finance_transactions", "ledger_mismatch", {"order_id": "RETURNED", "transaction_amount": "180"},
-     {"order_id": "RETURNED", "transaction_amount": "-180"}),
+    ("finance_transactions", "ledger_mismatch", {"transaction_amount": "154.81"}, {"transaction_amount": "154.795"}),
+    ("finance_transactions", "ledger_mismatch", {"order_id": "RETURNED", "transaction_amount": "154.8"},
+     {"order_id": "RETURNED", "transaction_amount": "-154.8"}),
     ("finance_transactions", "ledger_mismatch", {"order_id": "CANCELLED"},
      {"order_id": "CANCELLED", "transaction_amount": "0"}),
     ("finance_transactions", "order_not_loaded", {"order_id": "HELD"}, {"order_id": "HELD", "currency": "EUR"}),
@@ -106,8 +106,8 @@ def test_sound_repeated_and_missing_keys(masks, dataset):
 
 
 def fixed_key(dataset):
-    return {"customers": "C1", "products": "P1", "orders": "O1", "support_tickets": "T1",
-            "finance_transactions": "F1"}[dataset]
+    return {"customers": "K-201", "products": "G-31", "orders": "B-901", "support_tickets": "H-51",
+            "finance_transactions": "L-7001"}[dataset]
 
 
 def test_every_rule_has_a_case():
