@@ -33,7 +33,7 @@ BUCKET_BITS = 17
 SIZES = (3, 4, 5, 6)
 _SPACE = 0x20
 #: N-grams of no meaning that every mean includes, so a few words decide little.
-PRIOR = 40
+PRIOR = 200
 _TABLE = np.array(
     [b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else _SPACE for b in range(256)], np.uint8
 )
@@ -119,7 +119,7 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def train(
-    examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, width: int = 4, epochs: int = 10, batch: int = 64, rate: float = 0.5, spread: float = 0.01, seed: int = 7
+    examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, width: int = 4, epochs: int = 14, batch: int = 64, rate: float = 0.5, spread: float = 0.01, seed: int = 7
 ) -> Model:
     """Embeddings and softmax weights by AdaGrad on the cross-entropy."""
     labels = np.asarray(labels, np.int64)
