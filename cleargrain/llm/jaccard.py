@@ -299,10 +299,8 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
         held = now.groupBy("sig", "root").agg(F.count("*").alias("c"))
         open_ = held.groupBy("sig").agg(F.count("*").alias("roots"), F.sum("c").alias("many"), F.sum(F.col("c") * F.col("c")).alias("same"))
         open_ = open_.where(f"roots > 1 and many > {PIVOTS if turn else 0}").select("sig", "many", "same")
-        now = now.join(open_, "sig")
-        if turn:
-            now = now.join(sets.select("node", *[F.col("words")[i].alias(f"w{i}") for i in range(WORDS)]), "node")
-        members = _land(now, "members")
+        words = sets.select("node", *[F.col("words")[i].alias(f"w{i}") for i in range(WORDS)])
+        members = _land(now.join(open_, "sig").join(words, "node"), "members")
         left = members.agg(F.sum(F.col("many") - F.col("same") / F.col("many")).alias("pairs"), F.count("*").alias("rows")).first()
         if not left["rows"]:
             break
@@ -310,14 +308,13 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
         before = left["pairs"]
         other = members.select(
             "sig", F.col("node").alias("b"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("many").alias("among"),
-            *[F.col(f"w{i}").alias(f"v{i}") for i in range(WORDS) if turn],
+            *[F.col(f"w{i}").alias(f"v{i}") for i in range(WORDS)],
         )
         if not last:
             place = F.shiftrightunsigned(F.xxhash64("b", F.lit(turn)), 1) / F.lit(float(1 << 63))
             other = other.where(place * F.col("among") < PIVOTS)
-        pairs = members.join(other.drop("among"), "sig").where((F.col("root") != F.col("root2")) & _fit(percent))
-        if turn:
-            pairs = pairs.where(_near(percent))
+        can_link = (F.col("root") != F.col("root2")) & _fit(percent) & _near(percent)
+        pairs = members.join(other.drop("among"), "sig").where(can_link)
         if last:
             pairs = pairs.where(F.col("node") < F.col("b"))
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "n2").dropDuplicates(["a", "b"])
