@@ -71,5 +71,5 @@ def test_a_hot_foreign_key_does_not_gather(spark):
         assert kept.where("copies > 1").count() == 2 and kept.count() == 10_002
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     assert sum(sizes) == 30_000 and max(sizes) < 2 * 30_000 / 20
