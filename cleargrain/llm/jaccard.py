@@ -8,10 +8,10 @@ parts but one gives signatures of which linked sets share at least one. A set
 also takes part in the lower bands that hold smaller sets it can link with.
 
 A signature over parts where both sets are empty says nothing. Bands with many
-parts therefore have ``spare`` first-level parts more: linked sets then agree on
-``spare + 1`` parts, and empty signatures are left out unless a set has more
-empty-handed parts than ``spare``; such a set adds every combination of
-``spare + 1`` of them.
+parts therefore have ``spare`` first-level parts more, about as many as come out
+weak (with an empty signature): linked sets then agree on ``spare + 1`` parts, and
+empty signatures are left out. Only a set with more weak parts than ``spare`` adds
+the numbers of its weak parts as signatures.
 
 Sets that are equal are one class from the start. Classes that share a signature
 are candidates, each verified on its whole sets. A large group of candidates is
@@ -29,8 +29,8 @@ own texts. Other columns are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -80,8 +80,14 @@ class Bands:
         differ = (top + 100 * top // self._percent) * (100 - self._percent) // (100 + self._percent)
         if not differ:
             return 1, 1, 0
-        second, spare = (3, 0) if differ < 6 else (3, 1) if differ < 12 else (2, 3)
-        return differ // 2 + 1 + spare, second, spare
+        if differ < 6:
+            return differ // 2 + 1, 3, 0
+        low, least, second, spare = self._tops[band - 1] + 1, differ // 2 + 1, 3 if differ < 12 else 2, 0
+        for _ in range(4):  # as many as the parts that come out weak in most sets, within half of the others
+            parts = least + spare
+            weak = parts * min(1.0, second * math.exp(-low * (second - 1) / (parts * second)))
+            spare = min(max(2, least // 2), math.ceil(weak + 2.5 * math.sqrt(weak)))
+        return least + spare, second, spare
 
 
 def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
@@ -101,10 +107,9 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
         tags = np.arange(cells, dtype=np.uint64).reshape(first, second) + np.uint64(band << 32)
         every = mix(sums + mix(tags) + counts.astype(np.uint64))
         out.append(every[counts > 0])
-        weak = np.flatnonzero((counts == 0).any(1)).tolist()
+        weak = np.flatnonzero((counts == 0).any(1))
         if len(weak) > spare:
-            some = [hash((band, *x)) & 0xFFFFFFFFFFFFFFFF for x in combinations(weak, spare + 1)]
-            out.append(mix(np.array(some, np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)))
+            out.append(mix(mix(weak.astype(np.uint64) + np.uint64(band << 32)) ^ np.uint64(0x2545F4914F6CDD1D)))
     return np.concatenate(out)
 
 
