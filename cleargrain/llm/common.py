@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a Python task holds unpacked.
 SLICE_BYTES = 1 << 19
+#: Bytes of the Arrow batches between Spark and Python, where the session names none.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: Lower case for A-Z alone; every other byte maps to itself.
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -25,14 +28,18 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let the workers import this package wherever they run; once a session.
+    """Let the workers import this package wherever they run, in batches of bounded bytes; once a session.
 
     A package that runs from an archive came by ``--py-files`` already.
     """
     context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
-    if context.applicationId in _shipped or not package.is_dir():
+    if context.applicationId in _shipped:
         return
     _shipped.add(context.applicationId)
+    if context.getConf().get(_BATCH_SETTING) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    if not package.is_dir():
+        return
     archive = os.path.join(tempfile.mkdtemp(prefix="cleargrain-"), "cleargrain.zip")
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(package.rglob("*.py")):
@@ -51,6 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
     for batch in batches:
         for first, last in cuts(batch.column(column)):
             yield batch.slice(first, last - first)
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from cleargrain.llm.common import mix, ranges, slices
 
 #: Words whose ids a worker keeps; beyond them it starts anew.
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 18
 #: Bytes of text whose words are hashed together.
 BLOCK = 1 << 19
 #: Words longer than this, in bytes, are rare and take the slower way.

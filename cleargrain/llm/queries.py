@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleargrain.llm import chat, decontaminate, exact_dedup, jaccard, licenses, packing, repeats, sharding, token_files, toxicity
+from cleargrain.llm.common import ship
 from cleargrain.plans import storage
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
