@@ -46,6 +46,8 @@ from cleargrain.plans import storage
 #: Share of sampled signature rows from which a signature counts as hot; it bounds their number.
 HOT_SHARE = 1 / 2048
 _SAMPLE = 32
+#: Partitions over which the rows of a hot signature are dealt.
+SPREAD = 64
 #: Classes of a signature that the others are verified against in a turn.
 PIVOTS = 16
 #: Long integers of the small sketch.
@@ -124,48 +126,56 @@ def _codes(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([[np.add.reduce(mix(x ^ np.uint64(seed))) for x in sets] for seed in (1, 2)], np.uint64).reshape(2, -1).view(np.int64)
 
 
+def classed(rows: DataFrame, shingle: int) -> DataFrame:
+    """id, n (set size), code and code2 (128 bits of the set)."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, shingle):
+            codes, others = _codes(sets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(codes), pa.array(others)],
+                names=["id", "n", "code", "code2"],
+            )
+
+    return rows.mapInArrow(name, "id long, n long, code long, code2 long")
+
+
 def signed(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """id, n (set size), code and code2 (128 bits of the set), signatures."""
+    """sig, code: a row for each signature of each document."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        for batch, sets in _sets(batches, shingle):
-            codes, others = _codes(sets)
+        for _, sets in _sets(batches, shingle):
+            codes = _codes(sets)[0]
             found = [signatures(x, bands).view(np.int64) if len(x) else np.empty(0, np.int64) for x in sets]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"), pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array(codes), pa.array(others),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found))),
-                ],
-                names=["id", "n", "code", "code2", "sigs"],
-            )
+            owners = np.repeat(codes, [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(owners)], names=["sig", "code"])
 
-    return rows.mapInArrow(sign, "id long, n long, code long, code2 long, sigs array<long>")
+    return rows.mapInArrow(sign, "sig long, code long")
 
 
 def _shared(sorted_rows: DataFrame) -> DataFrame:
-    """Of rows sorted by sig and code, one a distinct pair, without signatures of a single code."""
+    """Of rows sorted by sig and code, one a distinct pair, without signatures of a single code unless they are hot."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[np.ndarray, np.ndarray, bool] | None = None  # the row before, and whether it is out already
+        last: tuple[np.ndarray, np.ndarray, np.ndarray, bool] | None = None  # the row before, and whether it is out already
         for batch in batches:
             if not len(batch):
                 continue
-            sig, code = batch.column("sig").to_numpy(), batch.column("code").to_numpy()
+            sig, code, hot = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "code", "hot"))
             out_before = False
             if last is not None:
-                sig, code, out_before = np.concatenate([last[0], sig]), np.concatenate([last[1], code]), last[2]
+                sig, code, hot = (np.concatenate(x) for x in zip(last[:3], (sig, code, hot), strict=True))
+                out_before = last[3]
             new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (code[1:] != code[:-1])])
-            sig, code = sig[new], code[new]
+            sig, code, hot = sig[new], code[new], hot[new].astype(bool)
             like_before = np.concatenate([[out_before], sig[1:] == sig[:-1]])
             like_next = np.concatenate([sig[1:] == sig[:-1], [False]])
-            keep_rows = like_before | like_next
+            keep_rows = like_before | like_next | hot
             keep_rows[0] &= not out_before
             if keep_rows.any():
                 yield pa.RecordBatch.from_arrays([pa.array(sig[keep_rows]), pa.array(code[keep_rows])], names=["sig", "code"])
-            last = (sig[-1:], code[-1:], bool(like_before[-1]))
+            last = (sig[-1:], code[-1:], hot[-1:], bool(like_before[-1] | hot[-1]))
 
     return sorted_rows.mapInArrow(keep, "sig long, code long")
 
@@ -174,20 +184,20 @@ def _land(frame: DataFrame, purpose: str) -> DataFrame:
     return storage.write_then_read(frame, storage.fresh_folder(frame.sparkSession, purpose))
 
 
-def memberships(table: DataFrame, classes: DataFrame) -> DataFrame:
-    """sig, rep, n: the classes of every signature that several classes share.
+def memberships(rows: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """sig, node, n: the classes of every signature that several classes share.
 
     A signature that holds a large share of the rows, found on a sample, is known
-    to be shared and passes by the shuffle; fewer than 1 / HOT_SHARE can.
+    to be shared: its rows are dealt over SPREAD partitions. Fewer than
+    1 / HOT_SHARE signatures can hold that share, which bounds the broadcast.
     """
-    rows = table.where("n > 0").select(F.explode("sigs").alias("sig"), "code")
-    sample = table.where(f"n > 0 and pmod(xxhash64(code), {_SAMPLE}) = 0").select(F.explode("sigs").alias("sig"), "code").distinct()
-    counted = sample.groupBy("sig").agg(F.count("*").alias("rows"))
-    total = sample.count()
-    hot = _land(counted.where((F.col("rows") > 1) & (F.col("rows") > total * HOT_SHARE)).select("sig"), "hot")
-    cold = rows.join(F.broadcast(hot), "sig", "left_anti").repartition("sig").sortWithinPartitions("sig", "code")
-    warm = rows.join(F.broadcast(hot), "sig", "left_semi").distinct()
-    shared = _shared(cold).unionByName(warm)
+    sample = signed(rows.where(f"pmod(xxhash64(id, text), {_SAMPLE}) = 0"), shingle, percent).distinct()
+    sample = _land(sample.groupBy("sig").agg(F.count("*").alias("rows")), "sampled")
+    least = (sample.agg(F.sum("rows")).first()[0] or 0) * HOT_SHARE
+    hot = sample.where((F.col("rows") > 1) & (F.col("rows") > least)).select("sig", F.lit(True).alias("hot"))
+    every = signed(rows, shingle, percent).join(F.broadcast(hot), "sig", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    salt = F.when(F.col("hot"), F.pmod("code", F.lit(SPREAD))).otherwise(F.lit(0))
+    shared = _shared(every.repartition(F.col("sig"), salt).sortWithinPartitions("sig", "code"))
     return _land(shared.join(classes.select("code", "node", "n"), "code").select("sig", "node", "n"), "members")
 
 
@@ -338,10 +348,10 @@ def jaccard_components(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that links reach."""
     rows = narrow(docs, id_col, text_col)
-    table = _land(signed(rows, shingle, percent), "signed")
+    table = _land(classed(rows, shingle), "classed")
     classes = table.where("n > 0").groupBy("code", "code2", "n").agg(F.min("id").alias("rep"))
     classes = _land(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    members = memberships(table, classes)
+    members = memberships(rows, classes, shingle, percent)
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
     root = links(members, _land(sets_of(rows, wanted, shingle), "sets"), percent)
     named = classes.withColumn("root", F.col("node"))
