@@ -1,7 +1,7 @@
 """Whole texts to token ids, with the ids of a word looked up once it is known.
 
 A byte-pair tokenizer splits a text into words before it merges, and no merge
-crosses a word. Words repeat far more often than texts, so a worker keeps the ids
+crosses a word. Words repeat far more often than texts, so a task keeps the ids
 of the words it has met. Cuts are made only where the tokenizer itself cuts:
 
 * Texts of Latin letters, digits and ASCII signs are cut at the borders between
@@ -30,7 +30,7 @@ import pyarrow as pa
 
 from cleargrain.llm.common import mix, ranges, slices
 
-#: Words whose ids a worker keeps; beyond them it starts anew.
+#: Words whose ids a task keeps; beyond them it starts anew.
 KNOWN_WORDS = 1 << 18
 #: Bytes of text whose words are hashed together.
 BLOCK = 1 << 19
@@ -142,9 +142,10 @@ class Encoder:
         elif self._white == "dropped":
             self._ends[[i for x, i in self._tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self._limit = known_words
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the known words; idle workers keep little memory."""
         self._table = _Table()
         self._by_word: dict[str, int] = {}
         self._flat = np.empty(1 << 16, np.int32)
@@ -245,7 +246,7 @@ class Encoder:
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
         if self._words > self._limit:
-            self._forget()
+            self.forget()
         offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.empty(0, np.uint8)
@@ -304,3 +305,4 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         keep[ends - 1] = False
         with_end[keep] = ids
         yield batch, with_end, np.concatenate([[0], ends])
+    encoder(path).forget()
