@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cleargrain.llm.common import mix, narrow, slices
+from cleargrain.llm.common import narrow, slices
 from cleargrain.llm.words import ALPHANUMERIC, shingles, word_hashes
 
 #: Notices by which well-known licenses are named, and opening passages of their texts.
@@ -56,6 +56,9 @@ def bands_for(similarity: float, rows: int, miss: float) -> int:
     return math.ceil(math.log(miss) / math.log(1 - similarity**rows))
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Index:
     """Band keys of the templates by window length."""
 
@@ -90,7 +93,7 @@ class Index:
                     least = hashes[first]
                 else:
                     least = np.minimum.reduceat(hashes, np.stack([first, end], 1).ravel())[::2]
-                held[j] = mix(held[j] + least)
+                held[j] = held[j] * _ODD + least
             if i % self.rows == self.rows - 1:
                 yield held
                 held = [np.zeros(len(first), np.uint64) for _, first, _ in windows]
