@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleargrain.llm import chat, decontaminate, exact_dedup, jaccard, licenses, packing, repeats, sharding, token_files, toxicity
+from cleargrain.llm import chat, decontaminate, exact_dedup, jaccard, license_list, licenses, packing, repeats, sharding, token_files, toxicity
 from cleargrain.llm.common import ship
 from cleargrain.plans import storage
 
@@ -91,7 +91,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row a document: its licenses, the matches and the best containment (0 without a match)."""
-    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"), license_list.full_list())
     names = F.array_join(F.array_sort(F.array_distinct("matches.license")), ",")
     best = F.aggregate("matches.containment", F.lit(0.0), lambda a, x: F.greatest(a, x))
     return found.select("doc_id", names.alias("licenses"), F.size("matches").cast("long").alias("n_matches"), best.alias("containment"), "matches")
