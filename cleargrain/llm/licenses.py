@@ -9,6 +9,10 @@ that is allowed:
 
     (1 - similarity ** rows) ** bands <= miss
 
+A window is as wide as a stretch of twice the template's length and a stride more,
+so that every such stretch lies in a window as a whole, and just enough of the
+template among as many shingles of others as fit in is the least similarity.
+
 A candidate is verified exactly: the share of the template's distinct shingles
 that the window has. Matches of a template that overlap become one. Of templates
 that match the same words (more than half of the lesser one's) the best is
@@ -96,13 +100,13 @@ class Index:
         return max(1, length // 4)
 
     def width(self, length: int) -> int:
-        """Shingles of a window: what is verified around a place where the template can stand."""
-        return length + 2 * (length // 2 + 1)
+        """Shingles of a window: those of any stretch of twice the template's length and two, wherever it begins."""
+        return length + 2 * (length // 2 + 1) + self.stride(length)
 
     def bands_of(self, length: int) -> int:
-        # A window off by an eighth holds all but an eighth of what matches of the template.
-        common = self.containment - 0.125
-        return bands_for(common / (2 - common), self.rows, self.miss)
+        """Bands that find the least similar window that verify accepts: just enough of the template, the rest from others."""
+        enough = next(n for n in range(int(self.containment * length), length + 1) if n / length >= self.containment)
+        return bands_for(enough / (length + self.width(length) - enough), self.rows, self.miss)
 
     def band_keys(self, grams: np.ndarray, first: np.ndarray, end: np.ndarray, bands: int) -> Iterator[np.ndarray]:
         """For each band, the keys of the windows from ``first`` to ``end``, none of them empty."""

@@ -1,3 +1,5 @@
+import random
+
 import pyarrow as pa
 import pytest
 
@@ -51,3 +53,55 @@ def test_production_query_scans_for_the_full_list(spark, tmp_path):
     spark.createDataFrame([(1, whole["MPL-2.0"]), (2, whole["ISC"]), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     found = queries.op9_license_scan(spark, str(tmp_path)).orderBy("doc_id").collect()
     assert [r.licenses for r in found] == ["MPL-2.0", "ISC", ""]
+
+
+def stretched_rows(rng, templates, amount):
+    """Templates with words inserted, in a text of words of other templates."""
+    filler = [w for _, text in templates for w in text.split()]
+    rows = []
+    for _ in range(amount):
+        words = rng.choice(templates)[1].split()
+        for _ in range(rng.randint(1, 3)):
+            at = rng.choice([len(words) // 2, rng.randrange(1, len(words))])
+            words[at:at] = [f"w{rng.random()}" if rng.random() < 0.5 else rng.choice(filler) for _ in range(rng.randint(1, len(words) // 2))]
+        around = [[rng.choice(filler) for _ in range(rng.randint(0, 60))] for _ in range(2)]
+        rows.append(" ".join(around[0] + words + around[1]))
+    return rows
+
+
+def test_templates_with_inserted_words_against_every_stretch():
+    """Any stretch of twice a template's length and two that holds 80 % of its shingles is found."""
+    rng = random.Random(4)
+    base = [f"t{n}" for n in range(400)]
+    templates = [(f"T{n}", " ".join(rng.choice(base) for _ in range(size))) for n, size in enumerate([5, 9, 16, 29, 29, 44, 60, 90, 150, 150])]
+    texts = stretched_rows(rng, templates, 500)
+    index = licenses.Index(templates, miss=0.005)
+
+    def grams(text):
+        words = text.lower().replace(".", " ").split()
+        return list(zip(*(words[i:] for i in range(5)), strict=False))
+
+    sets, missed, total = {n: set(grams(t)) for n, t in templates}, 0, 0
+    for text, found in zip(texts, index.scan(pa.array(texts)), strict=True):
+        own, got = grams(text), {m[0] for m in found}
+        for name, wanted in sets.items():
+            reach = 2 * (len(wanted) // 2 + 1) + len(wanted)
+            if any(len(wanted & set(own[i : i + reach])) >= 0.8 * len(wanted) for i in range(max(1, len(own) - reach + 1))):
+                total, missed = total + 1, missed + (name not in got)
+    assert total > 200 and missed <= 0.01 * total
+
+
+def test_bands_follow_from_the_least_similar_window():
+    """Just enough of a template in a window whose other shingles are another template's."""
+    index = licenses.Index([("A", " ".join(f"a{n}" for n in range(29)))])
+    length, rng = 25, random.Random(6)
+    least = 20 / (length + index.width(length) - 20)
+    assert (1 - least**2) ** index.bands[length] <= 0.005
+    found = 0
+    for n in range(300):
+        other = [f"o{n}x{k}" for k in range(40)]
+        both = licenses.Index([("A", " ".join(f"a{n}x{k}" for k in range(29))), ("B", " ".join(other))], seed=rng.randrange(1 << 30))
+        words = [f"a{n}x{k}" for k in range(29)]
+        words[14:14] = other[:26]
+        found += any(m[0] == "A" for m in both.scan(pa.array([" ".join(words)]))[0])
+    assert found >= 297
