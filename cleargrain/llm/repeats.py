@@ -1,10 +1,9 @@
-"""Operator 10: repeated byte strings by distributed prefix doubling over sparse positions.
+"""Operator 10: repeated byte strings by anchors and fingerprints of whole strings.
 
-A suffix array orders all positions by the text that follows; prefix doubling
-ranks them by longer and longer prefixes and lets a position go once its rank is
-unique. Only strings of ``threshold`` bytes matter here, so the ranks start at
-``seed`` bytes and stop at the threshold, and three things keep the sorted rows
-few without changing the answer:
+Only strings of ``threshold`` bytes matter, so nothing is sorted or reranked at
+growing offsets, as prefix doubling would: strings are named by fingerprints at a
+few fixed lengths, and the names are counted. Three things keep the rows few
+without changing the answer:
 
 * The first ranks are those of sampled positions. In every string of ``threshold``
   bytes the seed with the smallest hash is its anchor, so equal strings have equal
@@ -14,8 +13,8 @@ few without changing the answer:
   ranked next. Where two runs tie, every position of both repeats: one row again.
 * What is left is split into runs of STEP positions. All strings of such a run
   share a core; a unique core ends the run. Only positions whose core ties, in
-  texts that are not the same around it, are ranked by the pair of their first
-  and last half: rank pairs at the last offset, which Spark sorts and counts.
+  texts that are not the same around it, are named one by one, by the pair of
+  fingerprints of their first and last half, and these pairs are counted.
 
 Ranks are names, 64-bit fingerprints that are always compared together with the
 rank of the step before (128 bits). Counts use partial sums; a string that fills
