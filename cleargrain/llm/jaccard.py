@@ -18,8 +18,9 @@ are candidates, each verified on its whole sets. A large group of candidates is
 never paired out: in each turn every class is verified against a few pivots that
 it shares a signature with, and signatures whose classes have become one component
 are done. What is left (classes that share signatures and that no pivot connects)
-is verified in full, so no link is lost. Sketches rule out most pairs before sets
-travel.
+is verified in full, so no link is lost; one side of a large signature is dealt over
+several join keys there, so its pairs spread over tasks, though their number stays
+the square of such a group. Sketches rule out most pairs before sets travel.
 
 Nulls and ties: a null or wordless text has the empty set and links with nothing;
 a text with fewer words than a shingle is one shingle as a whole; a component of
@@ -50,6 +51,8 @@ _SAMPLE = 32
 SPREAD = 64
 #: Classes of a signature that the others are verified against in a turn.
 PIVOTS = 16
+#: Classes of a signature, on one side, that a join in full compares with the others under one key.
+DEAL = 512
 #: Long integers of the small sketch.
 WORDS = 8
 #: Stands for a null id where ids are matched.
@@ -298,6 +301,17 @@ def _near(percent: int):
     return unequal * (100 + percent) <= (F.col("n") + F.col("n2")) * (100 - percent)
 
 
+def dealt(members: DataFrame, other: DataFrame) -> DataFrame:
+    """Every member with every other of its signature, joined by (sig, deal) so that a large signature is many keys.
+
+    A key has about DEAL members; the others go to each of their signature's keys.
+    """
+    deals = lambda many: F.ceil(F.col(many) / DEAL)
+    left = members.withColumn("deal", F.pmod(F.xxhash64("node", "sig"), deals("many")))
+    right = other.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), deals("among") - 1)))
+    return left.join(right, ["sig", "deal"])
+
+
 def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6) -> DataFrame | None:
     """node and root for classes that link with others; None if no signature is shared.
 
@@ -329,9 +343,10 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
             place = F.shiftrightunsigned(F.xxhash64("b", F.lit(turn)), 1) / F.lit(float(1 << 63))
             other = other.where(place * F.col("among") < PIVOTS)
         can_link = (F.col("root") != F.col("root2")) & _fit(percent) & _near(percent)
-        pairs = members.join(other.drop("among"), "sig").where(can_link)
         if last:
-            pairs = pairs.where(F.col("node") < F.col("b"))
+            pairs = dealt(members, other).where(can_link & (F.col("node") < F.col("b")))
+        else:
+            pairs = members.join(other.drop("among"), "sig").where(can_link)
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "n2").dropDuplicates(["a", "b"])
         pairs = _land(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
         tested = tested.unionByName(pairs.select("a", "b"))
