@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleargrain.llm import chat, decontaminate, exact_dedup, jaccard, license_list, licenses, packing, repeats, sharding, token_files, toxicity
+from cleargrain.llm import (
+    byte_bpe, chat, decontaminate, exact_dedup, importance, jaccard, license_list, licenses, packing, repeats, runs, sharding,
+    token_files, toxicity,
+)
 from cleargrain.llm.common import ship
 from cleargrain.plans import storage
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SHARDS = 24
 TOXIC_AT = 0.7
 
@@ -104,10 +108,52 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """The documents; in about a tenth the words from some place on repeat a stretch of them."""
+    hashed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", hashed.alias("h"), F.when(hashed % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    planted = F.array_join(F.slice(F.concat(F.slice("words", 1, F.col("a")), again), 1, F.col("n")), " ")
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(planted_periods(table(spark, sf_dir, "documents")), min_length=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    told = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"), F.expr("1000 * best.n div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(told, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), MULTI_BPE)
+    read = byte_bpe.decode_documents(tokens, MULTI_BPE)
+    return read.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target, percent=5, min_words=20, grams=3, buckets=10_000, seed=42)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_best_fit_packing, op3_jump_sharding, op4_toxicity, op5_chat_format,
         op6_decontaminate, op7_partenum_join, op8_exact_dedup, op9_license_scan, op10_suffix_repeats,
+        op11_periodic_runs, op12_byte_bpe, op13_importance_resampling,
     )
 }

@@ -35,7 +35,7 @@ def test_query(spark, engine, name):
 
 
 def test_numbers_of_all_operators():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 def test_stages(spark):
