@@ -88,6 +88,11 @@ def to_decimal(value: Column) -> Column:
     return F.coalesce(digits.try_cast("decimal(38,18)"), F.when(wide >= 1e19, largest).when(wide <= -1e19, -largest))
 
 
+def is_beyond(amount: Column) -> Column:
+    """Whether ``to_decimal`` read a number too wide for the type."""
+    return F.abs(amount) >= F.lit(_LARGEST).cast("decimal(38,18)")
+
+
 def cents(amount: Column) -> Column:
     """Whole cents of a decimal amount, halves away from zero.
 

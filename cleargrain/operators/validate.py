@@ -199,27 +199,26 @@ def validate_finance(source: DataFrame, orders: DataFrame) -> DataFrame:
     rows = lookup(
         _first_rows("finance_transactions", source), "order_id", "finance_transaction_id",
         judged, "order_id",
-        {"order_amount_cents": "order_cents", "order_status": "sold_status", "order_loaded": "order_loaded"},
+        {"order_amount_cents": "order_cents", "source_amount": "sold_for", "order_status": "sold_status", "order_loaded": "order_loaded"},
         "order_found", hot_keys(source, "order_id"),
     ).select(
         "*",
         clean.finance_type(F.col("transaction_type")).alias("governed_type"),
-        clean.cents(clean.to_decimal(F.col("transaction_amount"))).alias("ledger_cents"),
-    )
+        clean.to_decimal(F.col("transaction_amount")).alias("amount"),
+    ).withColumn("ledger_cents", clean.cents(F.col("amount")))
     ledger = F.col("ledger_cents")
     hits = {
         **_key_hits("finance_transactions"),
         "unknown_order": ~F.col("order_found"),
         "bad_posted_date": clean.iso_date(F.col("posted_date")).isNull(),
-        "bad_amount": ledger.isNull(),
+        "bad_amount": F.col("amount").isNull(),
         "unknown_type": ~F.col("governed_type").isin(*fixed.FINANCE_TYPES),
         "alias_type": _is_alias("transaction_type", F.col("governed_type"), fixed.FINANCE_TYPES),
         "bad_currency_or_posting": ~(
             F.coalesce(F.col("currency"), F.lit("")).isin(*fixed.CURRENCIES)
             & F.coalesce(F.col("posting_status"), F.lit("")).isin(*fixed.POSTING_STATUSES)
         ),
-        "ledger_mismatch": F.col("order_found")
-        & (ledger != expected_cents(F.col("sold_status"), F.col("order_cents"))),
+        "ledger_mismatch": F.col("order_found") & ledger_differs(),
     }
     rows = with_mask("finance_transactions", rows, hits, "own_mask")
     held = has_any(flags_with("finance_transactions", action="QUARANTINE"), "own_mask")
@@ -238,11 +237,26 @@ def validate_finance(source: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def expected_cents(status: Column, amount_cents: Column) -> Column:
+def expected_amount(status: Column, amount: Column) -> Column:
     """Ledger amount an order calls for, by its governed status."""
     return (
-        F.when(amount_cents.isNull(), None)
-        .when(status.isin(*fixed.FULFILLED), amount_cents)
-        .when(status == "RETURNED", -F.abs(amount_cents))
+        F.when(amount.isNull(), None)
+        .when(status.isin(*fixed.FULFILLED), amount)
+        .when(status == "RETURNED", -F.abs(amount))
         .otherwise(F.lit(0).cast("bigint"))
     )
+
+
+def ledger_differs() -> Column:
+    """Whether a readable ledger amount is not what its readable order calls for.
+
+    Cents answer it. An amount too wide for them is readable all the same: then both
+    amounts are compared as decimals, and as doubles where both exceed decimals too.
+    """
+    status, has_cents = F.col("sold_status"), F.col("ledger_cents").isNotNull() & F.col("order_cents").isNotNull()
+    calls_for = expected_amount(status, clean.to_decimal(F.col("sold_for")))
+    beyond = clean.is_beyond(F.col("amount")) & clean.is_beyond(calls_for)
+    wide = (F.round("amount", 2) != F.round(calls_for, 2)) | (
+        beyond & (F.col("transaction_amount").try_cast("double") != expected_amount(status, F.col("sold_for").try_cast("double")))
+    )
+    return F.when(has_cents, F.col("ledger_cents") != expected_amount(status, F.col("order_cents"))).otherwise(wide)

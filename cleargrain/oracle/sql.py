@@ -134,7 +134,8 @@ CTES["judged_support_tickets"] = f"""
 CTES["judged_finance_transactions"] = f"""
     SELECT f.*, {_governed('f.transaction_type', fixed.FINANCE_TYPE_ALIASES)} AS governed_type,
            {_cents('f.transaction_amount')} AS ledger, o.order_id IS NOT NULL AS has_order,
-           CASE WHEN o.status IN {_list(fixed.FULFILLED)} THEN {_cents('o.order_amount')}
+           CASE WHEN {_cents('o.order_amount')} IS NULL THEN NULL
+                WHEN o.status IN {_list(fixed.FULFILLED)} THEN {_cents('o.order_amount')}
                 WHEN o.status = 'RETURNED' THEN -abs({_cents('o.order_amount')})
                 ELSE 0 END AS expected
     FROM uniq_finance_transactions f

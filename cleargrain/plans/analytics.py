@@ -16,7 +16,7 @@ from cleargrain.functions.measure import (
     cancelled, count_if, dollars, fulfilled, growth, half_up, hours_hundredths, mean_hundredths,
     percent, percent_or_zero, sum_if, within_sla,
 )
-from cleargrain.operators.validate import expected_cents
+from cleargrain.operators.validate import expected_amount
 from cleargrain.plans.warehouse import Warehouse
 
 
@@ -406,7 +406,7 @@ def finance_variance(wh: Warehouse) -> DataFrame:
         ).alias("first")
     )
     expected = wh["fact_order"].select(
-        "order_id", expected_cents(F.col("order_status"), F.col("order_amount_cents")).alias("expected_cents")
+        "order_id", expected_amount(F.col("order_status"), F.col("order_amount_cents")).alias("expected_cents")
     )
     return (
         first.join(expected, "order_id")
