@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -61,6 +62,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
     pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
+def release() -> None:
+    """Give all free memory back to the system, also what the C library keeps."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most SLICE_BYTES of text each, or one row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -1,8 +1,8 @@
 """Whole texts to token ids, with the ids of a word looked up once it is known.
 
 A byte-pair tokenizer splits a text into words before it merges, and no merge
-crosses a word. Words repeat far more often than texts, so a task keeps the ids
-of the words it has met. Cuts are made only where the tokenizer itself cuts:
+crosses a word. Words repeat far more often than texts, so a worker keeps the ids
+of the words it has met, up to a number of words and bytes. Cuts are made only where the tokenizer itself cuts:
 
 * Texts of Latin letters, digits and ASCII signs are cut at the borders between
   letters, other signs and white space, for all texts of a slice at once: numpy
@@ -28,10 +28,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from cleargrain.llm.common import mix, ranges, slices
+from cleargrain.llm.common import mix, ranges, release, slices
 
-#: Words whose ids a task keeps; beyond them it starts anew.
+#: Words, and bytes of words and ids, that a worker keeps; beyond either it starts anew.
 KNOWN_WORDS = 1 << 18
+KNOWN_BYTES = 16 << 20
 #: Bytes of text whose words are hashed together.
 BLOCK = 1 << 19
 #: Words longer than this, in bytes, are rare and take the slower way.
@@ -69,10 +70,10 @@ _STEPS = [np.concatenate([[np.uint64(1)], np.full(BLOCK + LONG_WORD, x, np.uint6
 _POWERS, _INVERSES = (np.multiply.accumulate(x) for x in _STEPS)
 
 
-def _white_space(tokenizer: dict) -> str | None:
+def _white_space(tokenizer) -> str | None:
     """What the tokenizer does with white space; None: unknown, so texts stay whole."""
-    before, normal = tokenizer.get("pre_tokenizer") or {}, tokenizer.get("normalizer") or {}
-    if tokenizer["model"].get("type") != "BPE" or tokenizer["model"].get("dropout"):
+    before, normal = (json.loads(x.__getstate__()) if x else {} for x in (tokenizer.pre_tokenizer, tokenizer.normalizer))
+    if type(tokenizer.model).__name__ != "BPE" or tokenizer.model.dropout:
         return None
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not normal:
         return "kept"
@@ -135,7 +136,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._white = _white_space(json.loads(self._tokenizer.to_str()))
+        self._white = _white_space(self._tokenizer)
         self._ends = np.zeros(self._tokenizer.get_vocab_size(), bool)  # ids that end a word in _learn_letters
         if self._white == "kept":
             self._ends[self._tokenizer.encode("\n", add_special_tokens=False).ids] = True
@@ -145,12 +146,17 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Drop the known words; idle workers keep little memory."""
+        """Drop the known words."""
         self._table = _Table()
         self._by_word: dict[str, int] = {}
         self._flat = np.empty(1 << 16, np.int32)
         self._starts, self._lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self._words = self._used = 0
+        self._words = self._used = self._held = 0
+
+    def bound(self) -> None:
+        """Start anew beyond the bounds."""
+        if self._words > self._limit or self._held + 4 * self._used > KNOWN_BYTES:
+            self.forget()
 
     def _learn(self, words: list[str]) -> np.ndarray:
         """Numbers of new words, whose ids are kept from now on."""
@@ -187,6 +193,7 @@ class Encoder:
         known = self._by_word
         if new := [w for w in dict.fromkeys(words) if w not in known]:
             known.update(zip(new, self._learn(new).tolist(), strict=True))
+            self._held += sum(map(len, new))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def _borders(self, data: np.ndarray, starts: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,8 +252,7 @@ class Encoder:
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
-        if self._words > self._limit:
-            self.forget()
+        self.bound()
         offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.empty(0, np.uint8)
@@ -305,4 +311,5 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         keep[ends - 1] = False
         with_end[keep] = ids
         yield batch, with_end, np.concatenate([[0], ends])
-    encoder(path).forget()
+    encoder(path).bound()
+    release()
