@@ -6,8 +6,9 @@ import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+T = TypeVar("T")
+
 _shipped: set[str] = set()
 
 
@@ -54,12 +57,13 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of at most SLICE_BYTES of text, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", using: tuple | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of at most SLICE_BYTES of text, or one row, for a task that holds ``using`` or nothing."""
+    let_go(using)
     for batch in batches:
         for first, last in cuts(batch.column(column)):
             yield batch.slice(first, last - first)
-    pa.default_memory_pool().release_unused()  # workers outlive their tasks
+    release()  # workers outlive their tasks
 
 
 def release() -> None:
@@ -69,6 +73,24 @@ def release() -> None:
         trim(0)
 
 
+_held: dict[tuple, object] = {}
+
+
+def let_go(but: tuple | None = None) -> None:
+    """Drop the large object that an earlier task left in this worker, unless it is ``but``."""
+    if _held and but not in _held:
+        _held.clear()
+        release()
+
+
+def hold(key: tuple, build: Callable[[], T]) -> T:
+    """A large object for the tasks of this worker, which holds one at a time."""
+    let_go(key)
+    if key not in _held:
+        _held[key] = build()
+    return _held[key]
+
+
 def cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most SLICE_BYTES of text each, or one row."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

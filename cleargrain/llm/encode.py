@@ -22,13 +22,12 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from cleargrain.llm.common import mix, ranges, release, slices
+from cleargrain.llm.common import hold, mix, ranges, slices
 
 #: Words, and bytes of words and ids, that a worker keeps; beyond either it starts anew.
 KNOWN_WORDS = 1 << 18
@@ -66,8 +65,9 @@ _ODD_PAIRS = ((0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0), (0x3C, 0x7C))
 _random = np.random.default_rng(20)
 _BYTE_HASHES = _random.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 _ODD = int(_random.integers(1 << 62, 1 << 63)) | 1
-_STEPS = [np.concatenate([[np.uint64(1)], np.full(BLOCK + LONG_WORD, x, np.uint64)]) for x in (_ODD, pow(_ODD, -1, 1 << 64))]
-_POWERS, _INVERSES = (np.multiply.accumulate(x) for x in _STEPS)
+_POWERS, _INVERSES = (
+    np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(BLOCK + LONG_WORD, x, np.uint64)])) for x in (_ODD, pow(_ODD, -1, 1 << 64))
+)
 
 
 def _white_space(tokenizer) -> str | None:
@@ -295,15 +295,14 @@ class Encoder:
         return self._flat[ranges(self._starts[numbers], lengths)], before[ends] - before[ends - counts]
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One for each worker process and file; Spark keeps workers between tasks."""
-    return Encoder(path)
+    """The worker's own for this file; Spark keeps workers between tasks."""
+    return hold(("encoder", path), lambda: Encoder(path))
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the rows with their ids, ``end_id`` after each text, and the first place of each text."""
-    for batch in slices(batches):
+    for batch in slices(batches, using=("encoder", path)):
         ids, counts = encoder(path).encode(batch.column("text").cast(pa.string()))
         ends = np.cumsum(counts + 1)
         with_end = np.full(len(ids) + len(counts), end_id, np.int32)
@@ -312,4 +311,3 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         with_end[keep] = ids
         yield batch, with_end, np.concatenate([[0], ends])
     encoder(path).bound()
-    release()

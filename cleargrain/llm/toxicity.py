@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cleargrain.llm.common import cuts, narrow, ship, slices
+from cleargrain.llm.common import cuts, let_go, narrow, ship, slices
 
 BUCKET_BITS = 17
 SIZES = (3, 4, 5, 6)
@@ -192,6 +192,7 @@ def score(model: Model, docs: DataFrame, text_col: str = "text") -> Column:
 
     @F.arrow_udf("double")
     def toxic(texts: pa.Array) -> pa.Array:
+        let_go()
         parts = [shared.value.score(texts[first:last]) for first, last in cuts(texts)]
         return pa.array(np.concatenate(parts) if parts else np.empty(0))
 
