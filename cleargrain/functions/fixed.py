@@ -26,6 +26,7 @@ RAW_COLUMNS = {
 }
 DATASETS = tuple(RAW_COLUMNS)
 KEYS = {name: columns[0] for name, columns in RAW_COLUMNS.items()}
+AMOUNTS = {"orders": "order_amount", "finance_transactions": "transaction_amount"}
 
 # --- Fixed values: domains -------------------------------------------------
 

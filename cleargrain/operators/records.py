@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,9 +50,14 @@ def invalid_references(
     return checked.where(~F.col("known")).select("record_id", "value")
 
 
-def keep_first(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def keep_first(
+    frame: DataFrame, keys: Sequence[str], order_by: Sequence[str], dropped: Mapping[str, Column] | None = None
+) -> DataFrame:
     """First row of every key in the given order, with ``copies`` per key.
 
+    ``dropped`` names sums over the rows that are not kept: decimals of a row, added up
+    in the same step.
+
     Keys are counted on their own, narrow and combined before the shuffle. Rows
     of a key that comes once pass through as they are; only rows of repeated keys
     meet, as partial minima of whole rows, ordering columns first. Remaining
@@ -68,13 +73,16 @@ def keep_first(frame: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     )
     repeated = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
     same = reduce(lambda a, b: a & b, [keyed[name].eqNullSafe(repeated[name]) for name in names])
-    once = keyed.join(repeated, same, "left_anti").select(*frame.columns, F.lit(1).cast("bigint").alias("copies"))
+    sums = dropped or {}
+    nothing = [F.lit(0).cast("decimal(38,0)").alias(name) for name in sums]
+    once = keyed.join(repeated, same, "left_anti").select(*frame.columns, F.lit(1).cast("bigint").alias("copies"), *nothing)
     ranked = [*order_by, *[column for column in frame.columns if column not in order_by]]
     several = (
         keyed.join(repeated, same, "left_semi")
         .groupBy(*names)
-        .agg(F.min(F.struct(*ranked)).alias("first"), F.count(F.lit(1)).alias("copies"))
-        .select(*[f"first.{column}" for column in frame.columns], "copies")
+        .agg(F.min(F.struct(*ranked)).alias("first"), F.count(F.lit(1)).alias("copies"), *[F.sum(value).alias(name) for name, value in sums.items()])
+        .select(*[f"first.{column}" for column in frame.columns], "copies", *sums)
+        .withColumns({name: (F.col(name) - value).cast("decimal(38,0)") for name, value in sums.items()})
     )
     return once.unionByName(several)
 

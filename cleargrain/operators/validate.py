@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from cleargrain.functions import clean, fixed
 from cleargrain.functions.clean import is_blank
+from cleargrain.operators.reconcile import DROPPED, source_fingerprints
 from cleargrain.operators.records import hot_keys, keep_first, lookup
 from cleargrain.operators.rules import CASCADE_RULE, MASK, flags_with, has_any, with_mask
 from cleargrain.sources.raw import ROW_ORDER
 
 
 def _first_rows(dataset: str, source: DataFrame) -> DataFrame:
-    """Contract columns of the first row per key, blank text as found."""
+    """Contract columns of the first row per key, blank text as found, and fingerprints of the copies dropped for it."""
     columns = fixed.RAW_COLUMNS[dataset]
-    return keep_first(source.select(*columns, ROW_ORDER), [columns[0]], [ROW_ORDER])
+    dropped = dict(zip(DROPPED, source_fingerprints(dataset), strict=True))
+    return keep_first(source.select(*columns, ROW_ORDER), [columns[0]], [ROW_ORDER], dropped)
 
 
 def _key_hits(dataset: str) -> dict[str, Column]:
@@ -66,7 +68,7 @@ def validate_customers(source: DataFrame) -> DataFrame:
         "created_date",
         _upper("crm_status").alias("crm_status"),
         MASK,
-        ROW_ORDER, "copies",
+        ROW_ORDER, "copies", *DROPPED,
     )
 
 
@@ -95,7 +97,7 @@ def validate_products(source: DataFrame) -> DataFrame:
         clean.cents(cost).alias("unit_cost_cents"),
         _upper("active_flag").alias("active_flag"),
         MASK,
-        ROW_ORDER, "copies",
+        ROW_ORDER, "copies", *DROPPED,
     )
 
 
@@ -147,7 +149,7 @@ def validate_orders(source: DataFrame, customers: DataFrame, products: DataFrame
         _upper("channel").alias("channel"),
         "customer_segment", "region", "product_category",
         MASK,
-        ROW_ORDER, "copies",
+        ROW_ORDER, "copies", *DROPPED,
     )
 
 
@@ -183,7 +185,7 @@ def validate_tickets(source: DataFrame, customers: DataFrame) -> DataFrame:
         F.when(~is_blank(F.col("satisfaction_score")), _score("satisfaction_score")).alias("satisfaction_score"),
         "customer_segment",
         MASK,
-        ROW_ORDER, "copies",
+        ROW_ORDER, "copies", *DROPPED,
     )
 
 
@@ -233,7 +235,7 @@ def validate_finance(source: DataFrame, orders: DataFrame) -> DataFrame:
         _upper("currency").alias("currency"),
         _upper("posting_status").alias("posting_status"),
         (F.col("own_mask") + F.col("cascade_mask")).alias(MASK),
-        ROW_ORDER, "copies",
+        ROW_ORDER, "copies", *DROPPED,
     )
 
 

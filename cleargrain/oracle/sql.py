@@ -924,6 +924,35 @@ def _damaged() -> dict[str, str]:
     return steps
 
 
+def _conserved(dataset: str, fact: str, held: str, raw: str | None, typed: str | None) -> str:
+    """Whether raw records are the loaded, the quarantined and the dropped copies, each by key and cents."""
+    key, columns = fixed.KEYS[dataset], ", ".join(fixed.RAW_COLUMNS[dataset])
+    of_raw = f"coalesce({key}, '') AS key, {_cents(raw) if raw else 'NULL'} AS cents"
+    of_typed = f"coalesce({key}, '') AS key, {typed or 'NULL'} AS cents"
+    source = f"SELECT {of_raw} FROM raw_{dataset}"
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY coalesce({key}, '') ORDER BY src_pass, k, {columns}) AS nth FROM raw_{dataset}"
+    target = (
+        f"SELECT {of_typed} FROM {fact} UNION ALL SELECT {of_typed} FROM {held} UNION ALL SELECT {of_raw} FROM ({ranked}) WHERE nth > 1"
+    )
+    return (
+        f"SELECT '{dataset}_rows' AS control_name, '{dataset}' AS dataset, (SELECT count(*) FROM ({source})) AS source_rows,"
+        f" (SELECT count(*) FROM ({target})) AS target_rows, CASE WHEN EXISTS ({source} EXCEPT ALL ({target}))"
+        f" OR EXISTS (SELECT * FROM ({target}) EXCEPT ALL ({source})) THEN 'FAIL' ELSE 'PASS' END AS status"
+    )
+
+
+ANSWERS["recon_rows"] = ANSWERS["published_conservation"] = " UNION ALL ".join(
+    [
+        _conserved("orders", "fact_order", "order_quarantine", "order_amount", "order_amount_cents"),
+        _conserved("support_tickets", "fact_support_ticket", "support_ticket_quarantine", None, None),
+        _conserved("finance_transactions", "fact_finance_transaction", "finance_transaction_quarantine", "transaction_amount", "transaction_amount_cents"),
+    ]
+)
+ANSWERS["csv_documents"] = (
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source,"
+    " CAST(n_chars AS VARCHAR) AS n_chars, nullif(text, '') AS text FROM documents"
+)
+
 _PUBLISHED = {
     "orders": "fact_order", "tickets": "fact_support_ticket", "ledger": "fact_finance_transaction",
     "order_quarantine": "order_quarantine", "exceptions": "data_quality_exception", "controls": "etl_control",

@@ -13,7 +13,7 @@ from cleargrain.operators import audit, profile, records, rules
 from cleargrain.plans import analytics, reports, storage
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.warehouse import StagedWarehouse, Warehouse, open_latest, publish
-from cleargrain.sources import schemas
+from cleargrain.sources import csv_splits, schemas
 from cleargrain.sources.adapter import BASE_TABLES, DIRTY_RECIPES, RECIPES, Recipe, damaged, derive_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,6 +258,19 @@ def _quarantine_inventory(ws: Workspace) -> DataFrame:
 
 _query(_cascade, "finance_cascade")
 _query(lambda ws: ws.staging.counts(), "etl_counts")
+_query(lambda ws: ws.staging.conservation(ws.published.tables), "published_conservation")
+_query(lambda ws: ws.staging.conservation(ws.warehouse.tables), "recon_rows")
+
+
+def _csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents through CSV: written by Spark, line breaks in quotes and all, and read in splits."""
+    folder = storage.fresh_folder(spark, "csv")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(folder)
+    return csv_splits.read(spark, folder).select("doc_id", "lang", "source", "n_chars", "text")
+
+
+QUERIES["csv_documents"] = _csv_documents
 _on_warehouse("constraint_audit", lambda wh: audit.constraint_audit(wh.tables))
 _on_warehouse("key_audit", lambda wh: audit.key_audit(wh.tables))
 _on_warehouse("reference_audit", lambda wh: audit.reference_audit(wh.tables))
@@ -323,7 +336,7 @@ DIRTY = (
     "dq_duplicates", "dq_missing_required", "dq_invalid_fk", "dq_issues", "dq_exceptions", "dq_controls",
     "dq_quarantine_ids", "dq_issue_map", "wh_dim_customer", "wh_dim_product", "wh_fact_order", "wh_fact_support_ticket",
     "wh_fact_finance", "quarantine_orders", "quarantine_tickets", "quarantine_finance", "recon_controls", "etl_counts",
-    "constraint_audit", "category_performance", "category_performance_grain_safe", "dashboard_dataset",
+    "recon_rows", "constraint_audit", "category_performance", "category_performance_grain_safe", "dashboard_dataset",
     "finance_variance", "sla_by_priority", "profile_columns", "publish_status",
 )
 for _name in DIRTY:

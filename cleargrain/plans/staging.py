@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cleargrain.functions import fixed
 from cleargrain.functions.unfold import quoted, unfold
 from cleargrain.operators import rules, validate
 from cleargrain.operators.numbering import number, place
-from cleargrain.operators.reconcile import DataQualityError
+from cleargrain.operators.reconcile import DROPPED, DataQualityError, conservation
 from cleargrain.plans import storage
 
 
@@ -28,6 +28,7 @@ class Staging:
         self.spark = spark
         self.sources = sources
         self._shelf = storage.Shelf(folder or storage.fresh_folder(spark, "staging"))
+        self._written: dict[str, Observation] = {}
 
     def prepare(self, *datasets: str) -> None:
         """Validate several datasets, independent ones at the same time."""
@@ -52,10 +53,21 @@ class Staging:
             storage.at_once(
                 partial(self.sources.__getitem__, dataset), *[partial(self.validated, parent) for parent in parents]
             )
-            return judge(self.sources[dataset], *[self.validated(parent) for parent in parents])
+            judged = judge(self.sources[dataset], *[self.validated(parent) for parent in parents])
+            self._written[dataset] = Observation()
+            return judged.observe(self._written[dataset], *_metrics(dataset))
 
         return self._shelf.get(dataset, build)
 
+    def written(self, dataset: str) -> dict[str, int]:
+        """What was counted while a dataset was written: rows by fate, copies, hits by rule, dropped fingerprints.
+
+        The counts belong to the tasks that wrote the table, each partition's once, so
+        a task that is lost and run again does not count twice.
+        """
+        self.validated(dataset)
+        return {name: int(value or 0) for name, value in self._written[dataset].get.items()}
+
     def keep(self, name: str, frame: DataFrame) -> DataFrame:
         """A derived table, written once beside the validated ones."""
         return self._shelf.get(name, lambda: frame)
@@ -95,28 +107,20 @@ class Staging:
         )
 
     def issue_summary(self) -> DataFrame:
-        """Findings per rule, read from masks.
-
-        Counting set bits needs no exploded list: one scan per dataset and a
-        single row of counts from each.
-        """
+        """Findings per rule, counted while the datasets were written; nothing is read for it."""
         self.prepare(*fixed.DATASETS)
-        parts = []
+        entries = []
         for dataset in fixed.DATASETS:
-            catalogue = rules.CATALOGUE[dataset]
-            counts = self.validated(dataset).selectExpr(
-                *[f"count_if({rules.hit_sql(rule.flag)}) AS c{rule.bit}" for rule in catalogue]
-            )
-            entries = [
+            counts = self.written(dataset)
+            entries += [
                 {
                     "dataset": quoted(dataset), "issue_type": quoted(rule.issue_type),
                     "severity": quoted(rule.severity), "action": quoted(rule.action),
-                    "hits": f"c{rule.bit}",
+                    "hits": f"{counts[f'hits_{rule.bit}']}L",
                 }
-                for rule in catalogue
+                for rule in rules.CATALOGUE[dataset]
             ]
-            parts.append(unfold(counts, entries))
-        return reduce(DataFrame.unionAll, parts)
+        return unfold(self.spark.range(1), entries)
 
     def issue_counts(self) -> DataFrame:
         """Findings per dataset, type, severity and action (those that occur)."""
@@ -180,15 +184,38 @@ class Staging:
         Source rows are the copies folded into each kept row.
         """
         self.prepare(*fixed.DATASETS)
-        parts = []
+        entries = []
         for dataset in fixed.DATASETS:
-            held = rules.hit_sql(rules.flags_with(dataset, action="QUARANTINE"))
-            repeated = rules.hit_sql(rules.flags_with(dataset, name="repeated_key"))
-            parts.append(
-                self.validated(dataset).selectExpr(
-                    f"'{dataset}' AS dataset", "coalesce(sum(copies), 0) AS source_rows",
-                    "count(*) AS unique_rows", f"count_if(NOT ({held})) AS loaded_rows",
-                    f"count_if({held}) AS quarantined_rows", f"count_if({repeated}) AS duplicate_keys",
-                )
-            )
+            counts = self.written(dataset)
+            entries.append({"dataset": quoted(dataset)} | {name: f"{counts[name]}L" for name in _FATES})
+        return unfold(self.spark.range(1), entries)
+
+    def conservation(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """Controls that every raw record is loaded, quarantined or a dropped copy, by key and cents."""
+        # Dataset, its two tables and its typed amount column.
+        sides = (
+            ("orders", "fact_order", "order_quarantine", "order_amount_cents"),
+            ("support_tickets", "fact_support_ticket", "support_ticket_quarantine", None),
+            ("finance_transactions", "fact_finance_transaction", "finance_transaction_quarantine", "transaction_amount_cents"),
+        )
+        parts = []
+        for dataset, fact, held, amount in sides:
+            counts = self.written(dataset)
+            dropped, copies = [counts[name] for name in DROPPED], counts["source_rows"] - counts["unique_rows"]
+            parts.append(conservation(dataset, self.sources[dataset], tables[fact], tables[held], dropped, copies, amount))
         return reduce(DataFrame.unionAll, parts)
+
+
+_FATES = ("source_rows", "unique_rows", "loaded_rows", "quarantined_rows", "duplicate_keys")
+
+
+def _metrics(dataset: str) -> list[Column]:
+    """What is counted while a validated dataset is written."""
+    held = rules.hit_sql(rules.flags_with(dataset, action="QUARANTINE"))
+    repeated = rules.hit_sql(rules.flags_with(dataset, name="repeated_key"))
+    fates = ("coalesce(sum(copies), 0L)", "count(*)", f"count_if(NOT ({held}))", f"count_if({held})", f"count_if({repeated})")
+    return [
+        *[F.expr(sql).alias(name) for name, sql in zip(_FATES, fates, strict=True)],
+        *[F.expr(f"count_if({rules.hit_sql(rule.flag)})").alias(f"hits_{rule.bit}") for rule in rules.CATALOGUE[dataset]],
+        *[F.sum(name).alias(name) for name in DROPPED],
+    ]

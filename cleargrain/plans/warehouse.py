@@ -172,8 +172,8 @@ def reconciliation(staging: Staging, warehouse: Warehouse) -> DataFrame:
 def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
     """Write, audit, then announce a warehouse version.
 
-    Tables go to a folder of their own; counts, cents, constraints, keys and
-    references are then checked on what was written. Only when all hold is one
+    Tables go to a folder of their own; counts, cents, single records, constraints,
+    keys and references are then checked on what was written. Only when all hold is one
     row appended to the publication log; a failed run leaves readers on the
     version they had.
     """
@@ -191,6 +191,7 @@ def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
     _write_table("etl_control", reconciliation(staging, written), f"{folder}/etl_control")
     written = open_version(staging.spark, folder)
     require_balanced(written["etl_control"])
+    require_balanced(staging.conservation(written.tables))
     _require_sound(written.tables)
     log = staging.spark.range(1).select(
         F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at")
