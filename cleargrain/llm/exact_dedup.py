@@ -70,11 +70,12 @@ def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     seen = bloom.repeated(rows.select("h"))
 
     @F.pandas_udf("sha binary, maybe boolean")
-    def look(texts: pd.Series) -> pd.DataFrame:
+    def hashed(texts: pd.Series) -> pd.DataFrame:
         sums = [hashlib.sha256((x or "").encode().translate(ASCII_LOWER)).digest() for x in texts]
         first = np.frombuffer(b"".join(x[:8] for x in sums), np.int64)
         return pd.DataFrame({"sha": sums, "maybe": bloom.held(seen.value, first)})
 
+    look = hashed.asNondeterministic()  # else the filters below are pushed under it and every text is hashed twice
     columns = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.select(F.struct(*columns).alias("_row"), look(F.col(text_col)).alias("_seen"))
     alone = marked.where("not _seen.maybe").select("_row.*")
