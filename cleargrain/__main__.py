@@ -24,7 +24,7 @@ def main() -> None:
     run = run_pipeline(
         spark, load_csv_folder(spark, given.sources, not given.single_line), given.target, given.run_id
     )
-    kpis = {row.kpi_name: float(row.kpi_value) for row in spark.read.option("header", True).csv(f"{run.reports}/kpi_summary").collect()}
+    kpis = {row.kpi_name: float(row.kpi_value) for row in spark.read.option("header", True).csv(f"{run.reports}/kpi_summary.csv").collect()}
     print(
         f"Published {given.run_id}: loaded_orders={kpis['order_count']:,.0f};"
         f" quarantined_records={kpis['quarantined_record_count']:,.0f};"

@@ -57,15 +57,15 @@ def _write_reports(
     totals = shelf.get("profile_totals", lambda: profile.profile_totals(sources, tables))
     status = shelf.get("status", lambda: reports.publish_status(issues, balanced))
 
-    write_csv_report(reports.kpi_summary(overall), f"{folder}/kpi_summary")
-    write_csv_report(months, f"{folder}/monthly_trends", ("reporting_month",))
+    write_csv_report(reports.kpi_summary(overall), f"{folder}/kpi_summary.csv")
+    write_csv_report(months, f"{folder}/monthly_trends.csv", ("reporting_month",))
     write_csv_report(
-        analytics.dashboard_dataset(staged), f"{folder}/dashboard_dataset", ("reporting_month", "product_category")
+        analytics.dashboard_dataset(staged), f"{folder}/dashboard_dataset.csv", ("reporting_month", "product_category")
     )
     facts = reports.report_facts(overall, totals, issues, controls, balanced, categories, segments, months)
-    write_csv_report(facts, f"{folder}/report_facts")
-    write_csv_report(reports.findings(overall, issues, months), f"{folder}/findings", ("finding_no",))
-    write_csv_report(reports.top_issues(issues), f"{folder}/top_issues")
+    write_csv_report(facts, f"{folder}/report_facts.csv")
+    write_csv_report(reports.findings(overall, issues, months), f"{folder}/findings.csv", ("finding_no",))
+    write_csv_report(reports.top_issues(issues), f"{folder}/top_issues.csv")
     evidence = {
         "status": status, "counts": counts, "issue_counts": reports.issue_type_counts(issues),
         "validation_controls": controls, "reconciliation_controls": balanced,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Mapping
 from functools import cached_property, partial, reduce
 
@@ -15,7 +17,7 @@ from cleargrain.operators.records import hot_keys, keep_first, lookup
 from cleargrain.operators.reconcile import DataQualityError, reconcile, require_balanced
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.storage import at_once
-from cleargrain.sources import schemas
+from cleargrain.sources import files, schemas
 from cleargrain.sources.raw import ROW_ORDER
 
 # Published tables and their month columns.
@@ -172,13 +174,27 @@ def reconciliation(staging: Staging, warehouse: Warehouse) -> DataFrame:
 def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
     """Write, audit, then announce a warehouse version.
 
-    Tables go to a folder of their own; counts, cents, single records, constraints,
-    keys and references are then checked on what was written. Only when all hold is one
-    row appended to the publication log; a failed run leaves readers on the
-    version they had.
+    The run's name is claimed first, so of two runs of one name the second is
+    refused. Tables go to a folder of their own; counts, cents, single records,
+    constraints, keys and references are then checked on what was written. Only when
+    all hold does the run take the next version number; a run that fails removes
+    what it wrote, and leaves readers on the version they had.
     """
     staging.require_no_critical()
-    folder = f"{target}/versions/{run_id}"
+    spark, folder = staging.spark, _version_folder(target, run_id)
+    if not files.create_once(spark, f"{target}/claims/{run_id}", ""):
+        raise DataQualityError(f"Run {run_id} was published, or is under way, in {target}")
+    try:
+        written = _write_and_audit(staging, folder)
+        announce(spark, target, run_id)
+    except BaseException:
+        files.remove(spark, folder)
+        files.remove(spark, f"{target}/claims/{run_id}")
+        raise
+    return written
+
+
+def _write_and_audit(staging: Staging, folder: str) -> Warehouse:
     staged = StagedWarehouse(staging)
     at_once(
         *[
@@ -193,13 +209,69 @@ def publish(staging: Staging, target: str, run_id: str) -> Warehouse:
     require_balanced(written["etl_control"])
     require_balanced(staging.conservation(written.tables))
     _require_sound(written.tables)
-    log = staging.spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at")
-    )
-    log.coalesce(1).write.mode("append").json(f"{target}/publications")
     return written
 
 
+def announce(spark: SparkSession, target: str, run_id: str) -> int:
+    """Take the next version number for a finished run.
+
+    A number is a file that only one run can create. Who loses a number to
+    another run tries the next one, so concurrent runs end up in one order that every reader sees.
+    """
+    number = max(_numbers(spark, target), default=0)
+    while True:
+        number += 1
+        if files.create_once(spark, f"{target}/publications/{number:012d}.json", json.dumps({"run_id": run_id})):
+            return number
+
+
+def _version_folder(target: str, run_id: str) -> str:
+    return f"{target}/versions/{run_id}"
+
+
+def _numbers(spark: SparkSession, target: str) -> list[int]:
+    """Numbers taken, the last one first."""
+    names = files.listed(spark, f"{target}/publications")
+    return sorted((int(name[:12]) for name in names if name[:12].isdigit() and name.endswith(".json")), reverse=True)
+
+
+def publications(spark: SparkSession, target: str, last: int | None = None) -> list[tuple[int, str]]:
+    """(number, run_id) of the announced versions, the last one first; at most ``last`` of them.
+
+    A number whose file is empty was taken by a run that ended at that moment, or is
+    being written: it announces nothing yet.
+    """
+    found: list[tuple[int, str]] = []
+    for number in _numbers(spark, target):
+        if last is not None and len(found) >= last:
+            break
+        if text := files.read_text(spark, f"{target}/publications/{number:012d}.json"):
+            found.append((number, json.loads(text)["run_id"]))
+    return found
+
+
+def retain(spark: SparkSession, target: str, keep: int = 3, abandoned_after: float = 7 * 86400) -> list[str]:
+    """Delete the tables of older versions; the names of the runs whose tables went.
+
+    The last ``keep`` announced versions stay. Tables that no version announces belong to a
+    run under way, or to one whose driver was lost: they go once the claim of their
+    run is ``abandoned_after`` seconds old, which must exceed the longest run. Numbers
+    and claims of announced runs stay, so no number and no name is ever used twice.
+    """
+    if keep < 1:
+        raise ValueError("Keep one version at least")
+    claims = files.listed(spark, f"{target}/claims")
+    present = files.listed(spark, f"{target}/versions")
+    announced = [run_id for _, run_id in publications(spark, target)]
+    kept, old, late = set(announced[:keep]), set(announced[keep:]), time.time() - abandoned_after
+    lost = {run_id for run_id in claims.keys() - kept - old if claims[run_id] < late}
+    for run_id in (old & present.keys()) | lost:
+        files.remove(spark, _version_folder(target, run_id))
+    for run_id in lost:
+        files.remove(spark, f"{target}/claims/{run_id}")
+    return sorted((old | lost) & present.keys())
+
+
 def _write_table(name: str, frame: DataFrame, path: str) -> None:
     """Facts go by month; rebalancing sizes the files and splits a heavy month."""
     month = MONTHS.get(name)
@@ -238,10 +310,8 @@ def open_version(spark: SparkSession, folder: str, without: tuple[str, ...] = ()
 
 
 def open_latest(spark: SparkSession, target: str) -> Warehouse:
-    """The last announced version."""
-    log = spark.read.schema("run_id string, published_at timestamp").json(f"{target}/publications")
-    latest = log.orderBy(F.desc("published_at")).first()
-    if latest is None:
+    """The announced version with the greatest number."""
+    latest = publications(spark, target, last=1)
+    if not latest:
         raise DataQualityError(f"No published warehouse in {target}")
-    return open_version(spark, f"{target}/versions/{latest.run_id}")
-
+    return open_version(spark, _version_folder(target, latest[0][1]))

@@ -11,13 +11,13 @@ def test_whole_run_from_csv(spark, folder):
     os.makedirs(f"{folder}/in")
     write_folder(f"{folder}/in")
     run = run_pipeline(spark, load_csv_folder(spark, f"{folder}/in"), f"{folder}/out", "r1")
-    assert sorted(os.listdir(run.reports)) == [
-        "dashboard_dataset", "data_profile", "data_quality", "findings", "kpi_summary", "monthly_trends",
-        "report_facts", "top_issues",
+    assert sorted(name for name in os.listdir(run.reports) if not name.startswith(".")) == [
+        "dashboard_dataset.csv", "data_profile", "data_quality", "findings.csv", "kpi_summary.csv", "monthly_trends.csv",
+        "report_facts.csv", "top_issues.csv",
     ]
-    kpis = {r.kpi_name: r.kpi_value for r in spark.read.option("header", True).csv(f"{run.reports}/kpi_summary").collect()}
+    kpis = {r.kpi_name: r.kpi_value for r in spark.read.option("header", True).csv(f"{run.reports}/kpi_summary.csv").collect()}
     assert len(kpis) == 14 and kpis["net_revenue"] == "180.0" and kpis["order_count"] == "1.0"
-    facts = {r.fact: r.value for r in spark.read.option("header", True).csv(f"{run.reports}/report_facts").collect()}
+    facts = {r.fact: r.value for r in spark.read.option("header", True).csv(f"{run.reports}/report_facts.csv").collect()}
     assert facts["net_revenue"] == "$180.00" and facts["loaded_orders"] == "1" and facts["raw_rows"] == "6"
     assert spark.read.json(f"{run.reports}/data_quality/status").first().status == "PASS"
     assert open_latest(spark, f"{folder}/out")["fact_order"].count() == 1
