@@ -26,6 +26,9 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+#: A key with more than this share of the rows is hot: fewer than 1 / HOT_KEY_SHARE keys are.
+HOT_KEY_SHARE = 0.001
+
 T = TypeVar("T")
 
 _shipped: set[str] = set()
@@ -115,6 +118,19 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()), dtype=np.int64)
 
 
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` joined with ``facts``, whose column ``size`` says how many of the ``total`` rows have the key.
+
+    The facts of hot keys are broadcast, and their rows stay where they are; the share
+    bounds the number of such keys whatever the input. All other rows meet by key.
+    """
+    least = total * HOT_KEY_SHARE
+    hot, other = facts.where(F.col(size) > least), facts.where(F.col(size) <= least)
+    here = rows.join(F.broadcast(hot), keys)
+    there = rows.join(F.broadcast(hot.select(*keys).distinct()), keys, "left_anti").join(other, keys)
+    return here.unionByName(there)
+
+
 def running_base(rows: DataFrame, group: str, block: str, count: Column) -> DataFrame:
     """``base``: what the earlier blocks of a group count. One row a group and block
     enters the window, so a group costs as many rows as the table had tasks."""

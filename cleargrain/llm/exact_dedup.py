@@ -9,7 +9,8 @@ Of equal texts the row with the largest id stays. Nulls and ties: a null text is
 an empty one; a null id is smaller than any other; rows with the same id and text
 are all marked kept by ``group_copies`` and leave one behind in
 ``drop_duplicates``, which passes columns of any name through unread. An empty
-table gives no rows. A hot group meets as one partial result a task.
+table gives no rows. A very long text is hashed whole, in its task. A hot group meets
+as one partial result a task, and its rows take that result from a broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.llm import bloom
-from cleargrain.llm.common import ASCII_LOWER, narrow
+from cleargrain.llm.common import ASCII_LOWER, join_facts, narrow
 from cleargrain.plans import storage
 
 
@@ -52,7 +53,8 @@ def group_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     )
     several = marked.where("maybe").select("id", "sha")
     groups = several.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    joined = several.join(groups, "sha").select(
+    groups = storage.write_then_read(groups, storage.fresh_folder(spark, "groups"))
+    joined = join_facts(several, groups, ["sha"], "group_size", rows.count()).select(
         "id", "sha", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
     )
     return alone.unionByName(joined)
