@@ -21,11 +21,14 @@ are done. What is left (classes that share signatures and that no pivot connects
 is verified in full, so no link is lost; one side of a large signature is dealt over
 several join keys there, so its pairs spread over tasks, though their number stays
 the square of such a group. Sketches rule out most pairs before sets travel.
+What a hot signature or class brings to its rows (its size, about PIVOTS pivots, its
+component) is broadcast, so its rows stay where they are; hot is a share of the rows.
 
 Nulls and ties: a null or wordless text has the empty set and links with nothing;
 a text with fewer words than a shingle is one shingle as a whole; a component of
 rows with null ids alone has a null id; rows with equal ids are judged by their
-own texts. Other columns are not read. An empty table gives no rows.
+own texts. Other columns are not read. An empty table gives no rows. A very long
+text is one set, held whole by its task.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cleargrain.llm import bloom
-from cleargrain.llm.common import mix, narrow, slices
+from cleargrain.llm.common import join_facts, mix, narrow, slices
 from cleargrain.llm.components import components
 from cleargrain.llm.words import NOT_SPACE, shingle_set, word_hashes
 from cleargrain.plans import storage
@@ -329,7 +332,9 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
         open_ = held.groupBy("sig").agg(F.count("*").alias("roots"), F.sum("c").alias("many"), F.sum(F.col("c") * F.col("c")).alias("same"))
         open_ = open_.where(f"roots > 1 and many > {PIVOTS if turn else 0}").select("sig", "many", "same")
         words = sets.select("node", *[F.col("words")[i].alias(f"w{i}") for i in range(WORDS)])
-        members = _land(now.join(open_, "sig").join(words, "node"), "members")
+        # one row a signature, read by both sides of the join
+        open_ = _land(open_, "open")
+        members = _land(join_facts(now, open_, ["sig"], "many", members.count()).join(words, "node"), "members")
         left = members.agg(F.sum(F.col("many") - F.col("same") / F.col("many")).alias("pairs"), F.count("*").alias("rows")).first()
         if not left["rows"]:
             break
@@ -346,7 +351,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
         if last:
             pairs = dealt(members, other).where(can_link & (F.col("node") < F.col("b")))
         else:
-            pairs = members.join(other.drop("among"), "sig").where(can_link)
+            pairs = join_facts(members, other, ["sig"], "among", left["rows"]).where(can_link)
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "n2").dropDuplicates(["a", "b"])
         pairs = _land(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
         tested = tested.unionByName(pairs.select("a", "b"))
@@ -364,10 +369,10 @@ def jaccard_components(
     """doc_id, n_shingles, component_id: the smallest id that links reach."""
     rows = narrow(docs, id_col, text_col)
     table = _land(classed(rows, shingle), "classed")
-    classes = table.where("n > 0").groupBy("code", "code2", "n").agg(F.min("id").alias("rep"))
+    classes = table.where("n > 0").groupBy("code", "code2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     classes = _land(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     members = memberships(rows, classes, shingle, percent)
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = classes.drop("copies").join(members.select("node").distinct(), "node", "left_semi")
     root = links(members, _land(sets_of(rows, wanted, shingle), "sets"), percent)
     named = classes.withColumn("root", F.col("node"))
     if root is not None:
@@ -376,9 +381,12 @@ def jaccard_components(
         named = named.join(best, "root")
     else:
         named = named.withColumn("component_id", F.col("rep"))
-    whole = table.select("id", "n", "code", "code2").join(named.select("code", "code2", "n", "component_id"), ["code", "code2", "n"], "left")
-    return whole.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+    named = _land(named.select("code", "code2", "n", "component_id", "copies"), "named")
+    full = table.where("n > 0").select("id", "n", "code", "code2")
+    full = join_facts(full, named, ["code", "code2", "n"], "copies", table.count())
+    empty = table.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    return full.select("id", "n", "component_id").unionByName(empty).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"
     )
 
 
