@@ -261,7 +261,7 @@ def remove_repeats(
     """doc_id, n_bytes, n_removed, spans (removed runs of bytes, maximal), kept (the remaining bytes)."""
     rows = narrow(docs, id_col, text_col).withColumn("mark", F.xxhash64("text"))
     spans = _land(repeated_spans(rows, threshold=threshold, seed=seed), "spans")
-    lists = spans.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "end")).alias("parts"))
+    lists = spans.groupBy("id", "mark").agg(F.collect_set(F.struct("first", "end")).alias("parts"))
     held = bloom.holding(lists.select(F.col("mark").alias("h")))
     marked = rows.withColumn("maybe", bloom.maybe(held, F.col("mark")))
     none = F.array().cast("array<struct<first: int, end: int>>")
