@@ -21,8 +21,8 @@ are done. What is left (classes that share signatures and that no pivot connects
 is verified in full, so no link is lost; one side of a large signature is dealt over
 several join keys there, so its pairs spread over tasks, though their number stays
 the square of such a group. Sketches rule out most pairs before sets travel.
-What a hot signature or class brings to its rows (its size, about PIVOTS pivots, its
-component) is broadcast, so its rows stay where they are; hot is a share of the rows.
+The component of a hot class is broadcast, so its rows stay where they are; members of
+a hot signature meet by signature.
 
 Nulls and ties: a null or wordless text has the empty set and links with nothing;
 a text with fewer words than a shingle is one shingle as a whole; a component of
@@ -332,9 +332,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
         open_ = held.groupBy("sig").agg(F.count("*").alias("roots"), F.sum("c").alias("many"), F.sum(F.col("c") * F.col("c")).alias("same"))
         open_ = open_.where(f"roots > 1 and many > {PIVOTS if turn else 0}").select("sig", "many", "same")
         words = sets.select("node", *[F.col("words")[i].alias(f"w{i}") for i in range(WORDS)])
-        # one row a signature, read by both sides of the join
-        open_ = _land(open_, "open")
-        members = _land(join_facts(now, open_, ["sig"], "many", members.count()).join(words, "node"), "members")
+        members = _land(now.join(open_, "sig").join(words, "node"), "members")
         left = members.agg(F.sum(F.col("many") - F.col("same") / F.col("many")).alias("pairs"), F.count("*").alias("rows")).first()
         if not left["rows"]:
             break
@@ -351,7 +349,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int, max_turns: int = 6)
         if last:
             pairs = dealt(members, other).where(can_link & (F.col("node") < F.col("b")))
         else:
-            pairs = join_facts(members, other, ["sig"], "among", left["rows"]).where(can_link)
+            pairs = members.join(other.drop("among"), "sig").where(can_link)
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "n2").dropDuplicates(["a", "b"])
         pairs = _land(pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
         tested = tested.unionByName(pairs.select("a", "b"))
