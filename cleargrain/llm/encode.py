@@ -29,7 +29,7 @@ import pyarrow as pa
 
 from cleargrain.llm.common import hold, mix, ranges, slices
 
-#: Words, and bytes of words and ids, that a worker keeps; beyond either it starts anew.
+#: Words, and bytes of words and ids, that a worker keeps; beyond either the words that no later slice met go.
 KNOWN_WORDS = 1 << 18
 KNOWN_BYTES = 16 << 20
 #: Bytes of text whose words are hashed together.
@@ -107,6 +107,11 @@ class _Table:
             wait, slots = wait[again], slots[again]
         return out
 
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys and their numbers."""
+        full = self._numbers >= 0
+        return self._keys[:, full], self._numbers[full]
+
     def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
         """Put distinct new keys in; the table stays under half full."""
         self._filled += len(numbers)
@@ -151,25 +156,44 @@ class Encoder:
         self._by_word: dict[str, int] = {}
         self._flat = np.empty(1 << 16, np.int32)
         self._starts, self._lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._met = np.zeros(1 << 14, bool)  # by a slice after the one that learned the word, since the last bound
         self._words = self._used = self._held = 0
 
     def bound(self) -> None:
-        """Start anew beyond the bounds."""
-        if self._words > self._limit or self._held + 4 * self._used > KNOWN_BYTES:
-            self.forget()
+        """Beyond the bounds keep the words met again, or none if they fill more than half of either."""
+        if self._words <= self._limit and self._held + 4 * self._used <= KNOWN_BYTES:
+            return
+        stay = np.flatnonzero(self._met[: self._words])
+        lengths, by_word = self._lengths[stay], {w: n for w, n in self._by_word.items() if self._met[n]}
+        held = sum(map(len, by_word))
+        if 2 * len(stay) > self._limit or 2 * (held + 4 * int(lengths.sum())) > KNOWN_BYTES:
+            return self.forget()
+        flat, table = self._flat[ranges(self._starts[stay], lengths)], self._table
+        anew = np.full(self._words, -1, np.int64)
+        anew[stay] = np.arange(len(stay))
+        self.forget()
+        self._keep(flat, lengths)
+        keys, numbers = table.entries()
+        there = anew[numbers] >= 0
+        self._table.add(keys[:, there], anew[numbers[there]])
+        self._by_word, self._held = {w: int(anew[n]) for w, n in by_word.items()}, held
 
     def _learn(self, words: list[str]) -> np.ndarray:
         """Numbers of new words, whose ids are kept from now on."""
         ids = [x.ids for x in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         return self._keep(np.fromiter(chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
-    def _learn_letters(self, words: list[str]) -> np.ndarray:
+    def _learn_letters(self, block: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
         """The same for words of letters alone, joined for one call: the tokenizer marks where each ends."""
-        ids = self._tokenizer.encode_batch_fast(["".join(x + "\n" for x in words)], add_special_tokens=False)[0].ids
-        ids = np.array(ids, np.int32)
+        after = np.cumsum(to - at + 1)
+        joined, letter = np.full(int(after[-1]), 0x0A, np.uint8), np.ones(int(after[-1]), bool)
+        letter[after - 1] = False
+        joined[letter] = block[ranges(at, to - at)]
+        text = joined.tobytes().decode()
+        ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
         ends = np.flatnonzero(self._ends[ids])
-        if len(ends) != len(words):
-            return self._learn(words)
+        if len(ends) != len(at):
+            return self._learn(text.split("\n")[:-1])
         lengths = np.diff(ends, prepend=-1)
         if self._white == "kept":  # the mark is the line break, which is none of the word's ids
             ids, lengths = np.delete(ids, ends), lengths - 1
@@ -182,6 +206,7 @@ class Encoder:
         while end > len(self._starts):
             self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
             self._lengths = np.concatenate([self._lengths, np.zeros_like(self._lengths)])
+            self._met = np.concatenate([self._met, np.zeros_like(self._met)])
         self._flat[self._used : self._used + total] = ids
         self._lengths[self._words : end] = lengths
         self._starts[self._words : end] = self._used + np.cumsum(lengths) - lengths
@@ -235,13 +260,13 @@ class Encoder:
             numbers = self._table.find(keys).astype(np.int64)
             if len(new := np.flatnonzero((numbers < 0) & ~long)):
                 _, one, which = np.unique(keys[0][new], return_index=True, return_inverse=True)
-                one, raw = new[one], block.tobytes()
-                words = [raw[x:y].decode() for x, y in zip(at[one].tolist(), to[one].tolist(), strict=True)]
+                one = new[one]
                 letters = kinds[b[one] + (data[b[one]] == 0x20) * (e[one] - b[one] > 1)] == _LETTER
                 added = np.empty(len(one), np.int64)
-                for rows, learn in ((np.flatnonzero(letters), self._learn_letters), (np.flatnonzero(~letters), self._learn)):
-                    if len(rows):
-                        added[rows] = learn([words[i] for i in rows.tolist()])
+                if len(rows := np.flatnonzero(letters)):
+                    added[rows] = self._learn_letters(block, at[one[rows]], to[one[rows]])
+                if len(rows := np.flatnonzero(~letters)):
+                    added[rows] = self._learn([block[at[i] : to[i]].tobytes().decode() for i in one[rows].tolist()])
                 self._table.add(keys[:, one], added)
                 numbers[new] = added[which]
             if long.any():
@@ -253,6 +278,7 @@ class Encoder:
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
         self.bound()
+        known = self._words
         offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.empty(0, np.uint8)
@@ -289,6 +315,7 @@ class Encoder:
             for i, own in odd_numbers.items():
                 every[ends[i] - counts[i] : ends[i]] = own
             numbers = every
+        self._met[numbers[numbers < known]] = True
         lengths = self._lengths[numbers]
         before = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(counts)

@@ -45,6 +45,26 @@ def test_any_text(pair, texts):
     assert split(*own.encode(pa.array(["cut", *texts], pa.string())[1:])) == wanted
 
 
+def test_words_met_again_stay_beyond_the_bound(pair):
+    """Common words among ever new ones: the ids stay right, and the common words are not learned anew."""
+    path, theirs = PATHS[0] if pair[0]._white == "kept" else PATHS[1], pair[1]
+    own, rng = Encoder(path, known_words=300), random.Random(3)
+    common, kept = ["the", "Wald", "über", "a1"], 0
+    for turn in range(60):
+        odd = ["日本"] if turn < 30 else []  # such texts are cut another way
+        texts = [" ".join([*common, *odd, *("".join(rng.choices("abcdeé", k=7)) for _ in range(20))]) for _ in range(3)]
+        before = own._words
+        assert split(*own.encode(pa.array(texts, pa.string()))) == [x.ids for x in theirs.encode_batch(texts, add_special_tokens=False)]
+        own.bound()
+        if own._words < before:
+            kept += own._words > 0
+            learned = own._words
+            own.encode(pa.array([" ".join(["x", "Wald", "über", *odd])], pa.string()))
+            assert own._words - learned <= 1  # x
+        assert own._words <= 300
+    assert kept > 3  # of the bounds in the loop, some kept words
+
+
 def ids_of(text, path, end):
     return [*Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids, end]
 
