@@ -13,7 +13,8 @@ the writer adds, let a reader skip to a few documents.
 
 Nulls and ties: a null text is empty and holds the end id alone; a null id sorts
 first; rows with equal ids keep their own rows, next to each other. Columns other
-than the id and the text are not read. An empty table gives files without rows.
+than the id and the text are not read. An empty table gives files without rows. A
+very long text is encoded whole, as one row in a step of its own.
 """
 
 from __future__ import annotations
