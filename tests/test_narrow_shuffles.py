@@ -2,7 +2,7 @@
 
 import pytest
 
-from cleargrain.operators import audit, records
+from cleargrain.operators import audit, profile, records
 
 
 @pytest.fixture
@@ -47,3 +47,11 @@ def test_audited_keys_travel_as_hashes(spark, shuffled):
     keys = spark.range(20).selectExpr("concat('C', id % 19) AS customer_id")
     audited = audit.key_audit({"dim_customer": keys})
     assert "_hash" in shuffled(audited) and [r["repeated_keys"] for r in audited.collect()] == [1]
+
+
+def test_repeated_rows_are_found_without_moving_all(spark, shuffled, make_sources):
+    sources = make_sources(orders=[{}, {}, {"order_id": "B-902"}])
+    told = profile.profile_tables(sources)
+    assert "SortMergeJoin" not in shuffled(told)
+    row = told.where("dataset = 'orders'").first()
+    assert (row["row_count"], row["duplicate_row_count"], row["duplicate_primary_key_count"]) == (3, 1, 1)
