@@ -55,3 +55,39 @@ def test_repeated_rows_are_found_without_moving_all(spark, shuffled, make_source
     assert "SortMergeJoin" not in shuffled(told)
     row = told.where("dataset = 'orders'").first()
     assert (row["row_count"], row["duplicate_row_count"], row["duplicate_primary_key_count"]) == (3, 1, 1)
+
+
+def test_hashes_travel_as_arrays(spark, shuffled):
+    told = spark.range(60).selectExpr("concat('K', id % 59) AS id").withColumn("_hash", records.key_hash("id"))
+    found = records.times_counted(told, "_hash")
+    plan = shuffled(found)
+    assert "hashpartitioning(_hash" not in plan and "collect_list" in plan
+    zero = told.where("id = 'K0'").first()["_hash"]
+    assert [row["_hash"] for row in found.collect()] == [zero]
+
+
+def test_a_hot_hash_meets_in_no_array(spark, monkeypatch):
+    monkeypatch.setattr(records, "_HASH_BITS", 32)  # all in one array
+    told = spark.range(9_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id < 5 THEN 'two' ELSE concat('K', id) END AS id")
+    told = told.withColumn("_hash", records.key_hash("id"))
+    seen = []
+    plain = records.F.collect_list
+    monkeypatch.setattr(records.F, "collect_list", lambda column: seen.append(column) or plain(column))
+    names = {row["_hash"]: row["id"] for row in told.distinct().collect()}
+    found = records.times_counted(told, "_hash")
+    assert seen and sorted(names[row["_hash"]] for row in found.collect()) == ["hot", "two"]
+    arrays = found._jdf.queryExecution().optimizedPlan().toString()
+    hot = next(h for h, name in names.items() if name == "hot")
+    assert f"{hot}" in arrays
+
+
+def test_rows_carry_their_lookup_key_once(spark, shuffled):
+    facts = spark.sql("SELECT concat('R', id) AS record, CASE id WHEN 1 THEN NULL WHEN 2 THEN '' ELSE concat('K', id) END AS ref FROM range(9)")
+    parents = spark.sql("SELECT concat('K', id) AS key, id AS v FROM range(6)")
+    hot = spark.sql("SELECT 'K3' AS hot_key")
+    joined = records.lookup(facts, "ref", "record", parents, "key", {"v": "v"}, "found", hot)
+    sent = next(line for line in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if "AS _lookup" in line)
+    assert not any(item.startswith("ref#") for item in sent.split("Project [")[1].split(", "))
+    got = [(r["record"], r["ref"], r["v"], r["found"]) for r in joined.orderBy("record").collect()]
+    refs = [None if n == 1 else "" if n == 2 else f"K{n}" for n in range(9)]
+    assert got == [(f"R{n}", ref, n if ref and n < 6 else None, bool(ref) and n < 6) for n, ref in enumerate(refs)]
