@@ -2,7 +2,10 @@
 
 import pytest
 
+from cleargrain.functions import fixed
 from cleargrain.operators import audit, profile, records
+from cleargrain.plans.staging import Staging
+from cleargrain.plans.warehouse import StagedWarehouse, reconciliation
 
 
 @pytest.fixture
@@ -91,3 +94,13 @@ def test_rows_carry_their_lookup_key_once(spark, shuffled):
     got = [(r["record"], r["ref"], r["v"], r["found"]) for r in joined.orderBy("record").collect()]
     refs = [None if n == 1 else "" if n == 2 else f"K{n}" for n in range(9)]
     assert got == [(f"R{n}", ref, n if ref and n < 6 else None, bool(ref) and n < 6) for n, ref in enumerate(refs)]
+
+
+def test_reconciliation_counts_no_hashes_again(spark, make_sources, monkeypatch):
+    staging = Staging(spark, make_sources(orders=[{}, {}, {"order_id": "B-902"}]))
+    staging.prepare(*fixed.DATASETS)
+    counted = []
+    plain = records.times_counted
+    monkeypatch.setattr(records, "times_counted", lambda frame, column: counted.append(frame) or plain(frame, column))
+    told = reconciliation(staging, StagedWarehouse(staging)).where("control_name = 'orders_count'").first()
+    assert (told["source_value"], told["target_value"], counted) == (2, 2, [])
