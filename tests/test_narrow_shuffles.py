@@ -4,6 +4,7 @@ import pytest
 
 from cleargrain.functions import fixed
 from cleargrain.operators import audit, profile, records
+from cleargrain.plans import storage, warehouse
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.warehouse import StagedWarehouse, reconciliation
 
@@ -104,3 +105,9 @@ def test_reconciliation_counts_no_hashes_again(spark, make_sources, monkeypatch)
     monkeypatch.setattr(records, "times_counted", lambda frame, column: counted.append(frame) or plain(frame, column))
     told = reconciliation(staging, StagedWarehouse(staging)).where("control_name = 'orders_count'").first()
     assert (told["source_value"], told["target_value"], counted) == (2, 2, [])
+
+
+def test_written_tables_are_packed(spark, tmp_path):
+    storage.write_then_read(spark.range(3), str(tmp_path / "kept"))
+    warehouse._write_table("dim_customer", spark.range(3), str(tmp_path / "published"))
+    assert {path.name.split(".")[-2] for path in tmp_path.glob("*/part-*")} == {"zstd"}
