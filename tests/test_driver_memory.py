@@ -3,6 +3,7 @@
 import pytest
 
 from cleargrain.operators import records, validate
+from cleargrain.plans import analytics
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.warehouse import StagedWarehouse, Warehouse
 
@@ -75,3 +76,13 @@ def test_staging_broadcasts_no_table(spark, warehouse):
     judged = validate.validate_orders(staging.sources["orders"], customers, products, repeated=staging.repeated("orders"))
     assert _joins(judged, "SortMergeJoin") == 2
     assert judged.select("order_id", "customer_segment").exceptAll(orders.select("order_id", "customer_segment")).isEmpty()
+
+
+def test_ledger_of_an_order_is_not_broadcast(warehouse, rows):
+    staging, published = warehouse
+    assert _joins(published.orders_with_ledger, "SortMergeJoin") == 3
+    expected = [("B0", 30960, 2), ("B1", None, None), ("B2", 30960, 2), ("B3", None, None)]
+    found = published.orders_with_ledger
+    assert sorted((r["order_id"], r["net_cents"], r["ledger_rows"]) for r in found.collect()) == expected
+    same = [row.asDict() for row in analytics.category_performance(StagedWarehouse(staging), grain_safe=True).collect()]
+    assert same == [row.asDict() for row in analytics.category_performance(published, grain_safe=True).collect()]
