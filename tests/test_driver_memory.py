@@ -2,7 +2,8 @@
 
 import pytest
 
-from cleargrain.operators import records, validate
+from cleargrain.functions import fixed
+from cleargrain.operators import audit, records, validate
 from cleargrain.plans import analytics
 from cleargrain.plans.staging import Staging
 from cleargrain.plans.warehouse import StagedWarehouse, Warehouse
@@ -23,8 +24,8 @@ def _joins(frame, kind):
     return sum(f"{kind} [" in line for line in _plan(frame).split("Initial Plan")[-1].splitlines())
 
 
-def _named(key, prefix, rows, **same):
-    return [{key: f"{prefix}{n}", **same} for n, _ in enumerate(rows)]
+def _named(key, prefix, rows):
+    return [{key: f"{prefix}{n}"} for n, _ in enumerate(rows)]
 
 
 @pytest.fixture
@@ -86,3 +87,13 @@ def test_ledger_of_an_order_is_not_broadcast(warehouse, rows):
     assert sorted((r["order_id"], r["net_cents"], r["ledger_rows"]) for r in found.collect()) == expected
     same = [row.asDict() for row in analytics.category_performance(StagedWarehouse(staging), grain_safe=True).collect()]
     assert same == [row.asDict() for row in analytics.category_performance(published, grain_safe=True).collect()]
+
+
+def test_audits_and_reports_broadcast_no_table(warehouse, rows):
+    _, published = warehouse
+    audited = audit.reference_audit(published._given)
+    assert _joins(audited, "SortMergeJoin") == 4
+    assert rows(audited, "issue_count") == [(0,)] * 4
+    assert _joins(analytics.finance_variance(published), "SortMergeJoin") == 1
+    assert _joins(analytics.top_customers(published), "SortMergeJoin") == 3
+    assert analytics.top_customers(published).count() == min(4, fixed.TOP_CUSTOMERS)
